@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, packing, pii, quality
+from . import ann, bagminhash, bpe, chat, langid, line_dedup, packing, pii, quality, rabitq
 from .common import crc32_of_id, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -18,6 +18,10 @@ def _vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary())
 
@@ -26,6 +30,18 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc32_of_id() % 3 == 1
@@ -53,8 +69,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_packing": op2_packing,
         "op3_pii": op3_pii,
+        "op4_bagminhash": op4_bagminhash,
+        "op5_rabitq": op5_rabitq,
+        "op6_ann": op6_ann,
         "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
         "op9_chat": op9_chat,
@@ -63,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL}
