@@ -265,3 +265,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     merged = classes.select("key_high", "key_low", "node").join(found, "node", "left").select("key_high", "key_low", F.coalesce("component", "node").alias("component_id"))
     merged = scratch.save(merged)
     return signed.select("doc_id", "key_high", "key_low").join(merged, ["key_high", "key_low"]).select("doc_id", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that stay: of each group of near duplicates the smallest
+    doc_id, and one row of it where the id is repeated (a null id stays)."""
+    gone = Scratch(docs.sparkSession, "gone").save(near_duplicates(docs, threshold).where("not kept").select("doc_id").distinct())
+    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    few = gone.count() <= BROADCAST_IDS
+    stay = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    return stay.dropDuplicates(["doc_id"]) if repeated else stay

@@ -148,16 +148,19 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> L
     return LatentVoter.fit(counts, np.array([r.quality for r in found]), sizes.get(1, 0) / total)
 
 
-def score(docs: DataFrame, model: LatentVoter) -> DataFrame:
-    """(doc_id, score) of every row's whole text."""
+def score(docs: DataFrame, model: LatentVoter, extra: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, score of every row's whole text, and the extra columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    others = tuple(c for c in extra if c != "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 block = batch.slice(at, BLOCK)
                 got = shared.value.scores(np.array([terms(x.as_py()) for x in block.column(1)]).reshape(block.num_rows, TERMS))
-                yield pa.RecordBatch.from_arrays([block.column(0), pa.array(got, pa.float64())], ["doc_id", "score"])
+                carried = [block.column(c) for c in extra]
+                yield pa.RecordBatch.from_arrays([block.column(0), pa.array(got, pa.float64()), *carried], ["doc_id", "score", *extra])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    schema = ", ".join([f"doc_id {kind}", "score double", *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in extra)])
+    return docs.select("doc_id", "text", *others).mapInArrow(run, schema)
