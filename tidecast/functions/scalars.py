@@ -46,6 +46,14 @@ def scale_periods(months: int, frequency: str = "monthly", least: int = 1) -> in
     return max(least, round(months * PERIODS_PER_YEAR[frequency] / 12))
 
 
+def round_to(c, places: int) -> Column:
+    """Half to even at `places`, after noise beyond four more places is cut off, so
+    that the order of a sum's terms can't move a tie."""
+    c = F.col(c) if isinstance(c, str) else c
+    fine, coarse = F.lit(10.0 ** (places + 4)), F.lit(10.0**places)
+    return F.rint(F.rint(c * fine) / fine * coarse) / coarse
+
+
 def safe_div(a, b) -> Column:
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
     return F.when(b != 0, a / b)
@@ -61,7 +69,7 @@ def row_metrics(actual: str = "actual", predicted: str = "predicted") -> dict[st
     a, p = F.col(actual), F.col(predicted)
     error, share = F.abs(a - p), F.when(a != 0, (a - p) / a)
     ape = F.abs(share) * 100
-    r = lambda x: F.bround(x, 4)
+    r = lambda x: round_to(x, 4)
     return {
         "abs_err": r(error), "ape": r(ape), "mae": r(error), "mse": r(error * error), "rmse": r(error),
         "mape": r(ape), "mpe": r(share * 100), "accuracy": r(F.when(ape.isNotNull(), F.greatest(F.lit(0.0), 100 - ape))),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import direction_hit, month_label, row_metrics
+from ..functions.scalars import direction_hit, month_label, round_to, row_metrics
 
 RUN = ["series_id", "technique", "horizon", "window_no"]
 
@@ -29,7 +29,7 @@ def naive_forecasts(prices: DataFrame, windows: DataFrame, m_end: int, season: i
         F.struct(F.lit("seasonal_naive").alias("technique"), F.coalesce("season_price", "last").alias("predicted")),
         F.struct(F.lit("drift").alias("technique"), F.coalesce(drift, F.col("last")).alias("predicted")),
     )
-    return seasonal.select("series_id", "window_no", "train_end", "step", "ds", F.explode(made).alias("m")).select("series_id", "m.technique", "window_no", "train_end", "step", "ds", F.bround("m.predicted", 6).alias("predicted"))
+    return seasonal.select("series_id", "window_no", "train_end", "step", "ds", F.explode(made).alias("m")).select("series_id", "m.technique", "window_no", "train_end", "step", "ds", round_to("m.predicted", 6).alias("predicted"))
 
 
 def evaluate(forecasts: DataFrame, prices: DataFrame, horizon: str, m_start: int, m_end: int) -> DataFrame:
@@ -73,7 +73,7 @@ def search_best(trials: DataFrame) -> DataFrame:
     """The parameter set with the least mean error over windows, ties to the first.
     trials: series_id, technique, trial, params, window_no, error."""
     mean = trials.where("error is not null").groupBy("series_id", "technique", "trial", "params").agg(F.avg("error").alias("loss"))
-    place = F.row_number().over(Window.partitionBy("series_id", "technique").orderBy(F.bround("loss", 9), "trial"))
+    place = F.row_number().over(Window.partitionBy("series_id", "technique").orderBy(round_to("loss", 9), "trial"))
     return mean.withColumn("place", place).where("place = 1").drop("place")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import direction_hit, month_label, row_metrics
+from ..functions.scalars import direction_hit, month_label, round_to, row_metrics
 
 # Label -> (offset, months, first M-step).
 RANGES = {"M1-M3": (0, 3, 1), "M4-M6": (3, 3, 4), "M7-M18": (6, 12, 7), "M4-M18": (3, 15, 4)}
@@ -38,8 +38,8 @@ def trailing_mean_vintages(prices: DataFrame, months: int = 12, targets: int = 1
     past = rows.select("series_id", F.col("ds").alias("target"), "price")
     vintage = rows.select("series_id", F.col("ds").alias("vintage")).distinct()
     mean = vintage.join(past, "series_id").where((F.col("target") < F.col("vintage")) & (F.col("target") >= F.add_months("vintage", -months)))
-    mean = mean.groupBy("series_id", "vintage").agg(F.bround(F.avg("price"), 4).alias("value"), F.count("*").alias("n")).where(F.col("n") == months)
-    ahead = mean.select("series_id", "vintage", F.explode(F.sequence(F.lit(0), F.lit(targets - 1))).alias("k"), "value").select("series_id", "vintage", F.add_months("vintage", F.col("k")).alias("target"), F.bround(F.col("value") * (1 + F.col("k") * 0.001), 4).alias("value"))
+    mean = mean.groupBy("series_id", "vintage").agg(round_to(F.avg("price"), 4).alias("value"), F.count("*").alias("n")).where(F.col("n") == months)
+    ahead = mean.select("series_id", "vintage", F.explode(F.sequence(F.lit(0), F.lit(targets - 1))).alias("k"), "value").select("series_id", "vintage", F.add_months("vintage", F.col("k")).alias("target"), round_to(F.col("value") * (1 + F.col("k") * 0.001), 4).alias("value"))
     latest = mean.groupBy("series_id").agg(F.max("vintage").alias("vintage"))
     settled = latest.join(past, "series_id").where("target < vintage").select("series_id", "vintage", "target", F.col("price").alias("value"))
     return ahead.unionByName(settled)
@@ -56,7 +56,7 @@ def benchmark_detail(predicted: DataFrame, prices: DataFrame, cutoff) -> DataFra
     order = F.dense_rank().over(Window.partitionBy("series_id").orderBy("vintage"))
     before = F.coalesce(F.lag("predicted").over(per), F.col("baseline"))
     return rows.select(
-        "series_id", order.alias("sort_order"), "vintage", "target", F.row_number().over(per).alias("m_step"), F.bround("predicted", 4).alias("predicted"), F.bround("actual", 4).alias("actual"),
+        "series_id", order.alias("sort_order"), "vintage", "target", F.row_number().over(per).alias("m_step"), round_to("predicted", 4).alias("predicted"), round_to("actual", 4).alias("actual"),
         direction_hit("actual", "predicted", before).alias("da_mom"), direction_hit("actual", "predicted", "baseline").alias("da_abs"),
         *(c.alias(n) for n, c in row_metrics().items()),
     )
@@ -86,10 +86,10 @@ def range_table(detail: DataFrame, label: str) -> DataFrame:
     for i in range(months):
         m = f"M{first + i}"
         steps += [
-            F.coalesce(at(i, month_label("target")), F.lit("—")).alias(f"{m} Date"), at(i, F.bround("accuracy", 2)).alias(f"{m} Accuracy"),
-            at(i, F.bround("mape", 2)).alias(f"{m} MAPE (%)"), at(i, F.col("da_mom")).alias(f"{m} DA"), at(i, F.col("da_abs")).alias(f"{m} Abs DA"),
+            F.coalesce(at(i, month_label("target")), F.lit("—")).alias(f"{m} Date"), at(i, round_to("accuracy", 2)).alias(f"{m} Accuracy"),
+            at(i, round_to("mape", 2)).alias(f"{m} MAPE (%)"), at(i, F.col("da_mom")).alias(f"{m} DA"), at(i, F.col("da_abs")).alias(f"{m} Abs DA"),
         ]
-    mean = lambda c, places, factor=1: F.bround(F.avg(c) * factor, places)
+    mean = lambda c, places, factor=1: round_to(F.avg(c) * factor, places)
     return rows.groupBy("series_id", "sort_order", "vintage").agg(
         F.concat(F.count("*").cast("string"), F.lit(f"/{months}M")).alias("Months Available"), *steps,
         mean("accuracy", 2).alias("Avg Accuracy (%)"), mean("mape", 2).alias("Avg MAPE (%)"), mean("da_mom", 1, 100).alias("Avg DA (%)"), mean("da_abs", 1, 100).alias("Avg Abs DA (%)"),
@@ -99,7 +99,7 @@ def range_table(detail: DataFrame, label: str) -> DataFrame:
 
 def cycle_averages(detail: DataFrame) -> DataFrame:
     """Long form of the averages of every range and vintage."""
-    mean = lambda c, places, factor=1: F.bround(F.avg(c) * factor, places)
+    mean = lambda c, places, factor=1: round_to(F.avg(c) * factor, places)
     return all_ranges(detail).groupBy("series_id", "range", "vintage").agg(F.count("*").alias("months"), mean("accuracy", 2).alias("accuracy"), mean("mape", 2).alias("mape"), mean("da_mom", 1, 100).alias("da"), mean("da_abs", 1, 100).alias("da_abs"), mean("mae", 2).alias("mae"), mean("rmse", 2).alias("rmse"))
 
 

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import round_to
+
 from ..functions.aggregates import average_rank, safe_corr
 from .calendar import future_grid
 
@@ -31,7 +33,7 @@ def lag_search(prices: DataFrame, drivers: DataFrame, low: int = 0, high: int =
     enough = lambda c: F.when(F.count("*") >= min_obs, c)
     scored = ranked.groupBy(*key).agg(F.count("*").alias("n_obs"), enough(safe_corr("price", "value")).alias("pearson"), enough(safe_corr("price_rank", "value_rank")).alias("spearman"))
     scored = scored.withColumn("ensemble", F.abs("pearson") * pearson_weight + F.abs("spearman") * spearman_weight)
-    best = F.row_number().over(Window.partitionBy("series_id", "driver").orderBy(F.desc_nulls_last(F.bround("ensemble", 9)), "lag"))
+    best = F.row_number().over(Window.partitionBy("series_id", "driver").orderBy(F.desc_nulls_last(round_to("ensemble", 9)), "lag"))
     return scored.withColumn("selected", (best == 1) & F.col("ensemble").isNotNull())
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import round_to
+
 from ..functions.aggregates import kurtosis_excess, skewness_pop
 from .calendar import PER_SERIES, missing_periods
 
@@ -84,7 +86,7 @@ def return_statistics(prices: DataFrame) -> DataFrame:
     rows = returns(prices).where("ret is not null")
     return rows.groupBy("series_id").agg(
         F.avg("ret").alias("mean_ret"), F.stddev_samp("ret").alias("std_ret"), F.max("ret").alias("max_ret"), F.min("ret").alias("min_ret"),
-        F.max_by("ds", F.struct(F.bround("ret", 9), F.unix_date("ds"))).alias("max_ds"), F.min_by("ds", F.struct(F.bround("ret", 9), F.unix_date("ds"))).alias("min_ds"),
+        F.max_by("ds", F.struct(round_to("ret", 9), F.unix_date("ds"))).alias("max_ds"), F.min_by("ds", F.struct(round_to("ret", 9), F.unix_date("ds"))).alias("min_ds"),
     )
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clip_0_100, one_decimal, signed, tier
+from ..functions.scalars import clip_0_100, one_decimal, round_to, signed, tier
 from ..plans.config import HORIZON_DISPLAY, Scoring
 
 KEY = ["series_id", "technique", "horizon"]
 
 
 def _round_trip(c):
-    return F.bround(c, 4)
+    return round_to(c, 4)
 
 
 def dynamism(detail: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import safe_corr
-from ..functions.scalars import is_exchange_rate
+from ..functions.scalars import is_exchange_rate, round_to
 
 MIN_ABS_CORR = 0.4
 MAX_PAIR_CORR = 0.7
@@ -25,7 +25,7 @@ def greedy_redundancy(ranked: DataFrame, pairs: DataFrame, limit: float = MAX_PA
     name); one is dropped if it correlates above the limit with one kept before
     it. An unknown correlation is no redundancy; names without a strength come
     last and are kept unfiltered."""
-    places = ranked.select("series_id", "name", "strength", F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc_nulls_last(F.bround("strength", 9)), "name")).alias("place"))
+    places = ranked.select("series_id", "name", "strength", F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc_nulls_last(round_to("strength", 9)), "name")).alias("place"))
     listed = places.where("strength is not null").groupBy("series_id").agg(F.sort_array(F.collect_list(F.struct("place", "name"))).alias("names"))
     high = pairs.where(F.abs("corr") > limit)
     clash = high.select("series_id", F.concat_ws("|", "a", "b").alias("pair")).unionByName(high.select("series_id", F.concat_ws("|", "b", "a").alias("pair")))
@@ -43,7 +43,7 @@ def greedy_redundancy(ranked: DataFrame, pairs: DataFrame, limit: float = MAX_PA
 
 
 def top_n(scores: DataFrame, n: int) -> DataFrame:
-    order = Window.partitionBy("series_id").orderBy(F.desc_nulls_last(F.bround("score", 9)), "name")
+    order = Window.partitionBy("series_id").orderBy(F.desc_nulls_last(round_to("score", 9)), "name")
     return scores.withColumn("chosen", F.row_number().over(order) <= n)
 
 
@@ -101,7 +101,7 @@ def exchange_rate_net(final: DataFrame, candidates: DataFrame) -> DataFrame:
     exchange rate. candidates: series_id, name, strength."""
     lone = final.groupBy("series_id").agg(F.count("*").alias("n"), F.min("name").alias("only")).where((F.col("n") == 1) & is_exchange_rate("only"))
     best = candidates.join(lone, "series_id").where("name <> only and strength is not null")
-    best = best.groupBy("series_id").agg(F.max_by("name", F.struct(F.bround("strength", 9), "name")).alias("name"))
+    best = best.groupBy("series_id").agg(F.max_by("name", F.struct(round_to("strength", 9), "name")).alias("name"))
     return final.select("series_id", "name", "origin").unionByName(best.select("series_id", "name", F.lit("safety_net").alias("origin")))
 
 

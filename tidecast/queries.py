@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import scalars as S
-from .operators import backtest, benchmark, calendar, drivers, features, governance, quality_checks, scoring, selection
-from .plans.config import BUCKETS, HORIZONS, dim_technique
+from .operators import backtest, benchmark, calendar, drivers, engines, features, gate, governance, quality_checks, scoring, selection
+from .plans import pipeline
+from .plans.config import BUCKETS, HORIZONS, Run, dim_horizon, dim_technique
 from .sources import tables
 from .sources.tables import DRIVER_SQL, GRID_SQL, PRICE_SQL
 
@@ -24,11 +25,27 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 
+def _rounding(sql: str) -> str:
+    """round_even(x, n) spelled out as the rounding rule of the engine."""
+    at = sql.rfind("round_even(")
+    while at >= 0:
+        i, depth, comma = at + len("round_even("), 1, -1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[i], 0)
+            comma = i if sql[i] == "," and depth == 1 else comma
+            i += 1
+        x, n = sql[at + len("round_even(") : comma], int(sql[comma + 1 : i - 1])
+        done = f"(RINT(RINT(({x}) * 1e{n + 4}, 0) / 1e{n + 4} * 1e{n}, 0) / 1e{n})"
+        sql = sql[:at] + done + sql[i:]
+        at = sql.rfind("round_even(", 0, at)
+    return sql.replace("RINT(", "round_even(")
+
+
 def query(name: str, sql: str | None = None):
     def register(f):
         _QUERIES[name] = f
         if sql:
-            _SQL[name] = sql
+            _SQL[name] = _rounding(sql)
         return f
 
     return register
@@ -40,7 +57,7 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.bround(c, places) + F.lit(0.0)
+            c = S.round_to(c, places) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         out.append(c.alias(f.name))
@@ -184,9 +201,9 @@ def histogram(spark, sf_dir):
     return rounded(quality_checks.histogram(_prices(spark, sf_dir)))
 
 
-@query("autocorrelation", f"""WITH {GRID_SQL}, x AS (SELECT series_id, price - avg(price) OVER (PARTITION BY series_id) AS x, row_number() {BY}) AS at FROM grid WHERE price IS NOT NULL),
+@query("autocorrelation", f"""WITH {GRID_SQL}, x AS (SELECT series_id, price - avg(price) OVER (PARTITION BY series_id) AS x, row_number() {BY}) AS pos FROM grid WHERE price IS NOT NULL),
 l AS (SELECT *, unnest(range(13)) AS lag FROM x),
-c AS (SELECT l.series_id, lag, sum(l.x * y.x) AS c FROM l JOIN x y ON l.series_id = y.series_id AND y.at = l.at - l.lag GROUP BY 1, 2),
+c AS (SELECT l.series_id, lag, sum(l.x * y.x) AS c FROM l JOIN x y ON l.series_id = y.series_id AND y.pos = l.pos - l.lag GROUP BY 1, 2),
 t AS (SELECT series_id, lag, c / nullif(max(CASE WHEN lag = 0 THEN c END) OVER (PARTITION BY series_id), 0) AS acf FROM c)
 SELECT series_id, lag, {rounds('acf')} FROM t""")
 def autocorrelation(spark, sf_dir):
@@ -194,15 +211,15 @@ def autocorrelation(spark, sf_dir):
 
 
 # Prices with planted trouble: a gap, repeated months, nulls, an outlier, negatives, a flat stretch.
-DIRTY_SQL = """{grid}, kept AS (SELECT series_id, ds, price, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS at FROM grid WHERE price IS NOT NULL),
-dirty0 AS (SELECT series_id, ds, CASE WHEN at = 9 THEN NULL WHEN at = 20 THEN -price WHEN at = 33 THEN price * 9 WHEN at BETWEEN 40 AND 45 THEN 1500.0 ELSE price END AS price, at FROM kept WHERE at NOT IN (15, 16, 60)),
-dirty AS (SELECT series_id, ds, price FROM dirty0 UNION ALL SELECT series_id, ds, price FROM dirty0 WHERE at IN (5, 6))"""
+DIRTY_SQL = """{grid}, kept AS (SELECT series_id, ds, price, row_number() OVER (PARTITION BY series_id ORDER BY ds) AS pos FROM grid WHERE price IS NOT NULL),
+dirty0 AS (SELECT series_id, ds, CASE WHEN pos = 9 THEN NULL WHEN pos = 20 THEN -price WHEN pos = 33 THEN price * 9.017 WHEN pos BETWEEN 40 AND 45 THEN 1500.0 ELSE price END AS price, pos FROM kept WHERE pos NOT IN (15, 16, 60)),
+dirty AS (SELECT series_id, ds, price FROM dirty0 UNION ALL SELECT series_id, ds, price FROM dirty0 WHERE pos IN (5, 6))"""
 
 
 def _dirty(spark, sf_dir):
     at = F.row_number().over(calendar.PER_SERIES)
     rows = _prices(spark, sf_dir).where("price is not null").withColumn("at", at).where("at not in (15, 16, 60)")
-    price = F.when(F.col("at") == 9, None).when(F.col("at") == 20, -F.col("price")).when(F.col("at") == 33, F.col("price") * 9).when(F.col("at").between(40, 45), 1500.0).otherwise(F.col("price"))
+    price = F.when(F.col("at") == 9, None).when(F.col("at") == 20, -F.col("price")).when(F.col("at") == 33, F.col("price") * 9.017).when(F.col("at").between(40, 45), 1500.0).otherwise(F.col("price"))
     rows = rows.withColumn("price", price)
     return rows.unionByName(rows.where("at in (5, 6)")).select("series_id", "ds", "price")
 
@@ -211,8 +228,8 @@ def _dirty(spark, sf_dir):
 per AS (SELECT series_id, count(*) AS n, count(*) FILTER (WHERE price IS NULL) AS missing, count(*) - count(DISTINCT ds) AS repeats, count(*) FILTER (WHERE price < 0) AS negative FROM dirty GROUP BY 1),
 bb AS (SELECT series_id, min(ds) AS a, max(ds) AS b FROM dirty GROUP BY 1),
 mm AS (SELECT series_id, CAST(unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS DATE) AS ds FROM bb),
-gaps AS (SELECT series_id, ds, row_number() {BY}) AS at FROM mm WHERE NOT EXISTS (SELECT 1 FROM dirty d WHERE d.series_id = mm.series_id AND d.ds = mm.ds)),
-gapped AS (SELECT series_id, count(*) AS n, string_agg(strftime(ds, '%Y-%m'), ', ' ORDER BY ds) FILTER (WHERE at <= 10) AS some FROM gaps GROUP BY 1),
+gaps AS (SELECT series_id, ds, row_number() {BY}) AS pos FROM mm WHERE NOT EXISTS (SELECT 1 FROM dirty d WHERE d.series_id = mm.series_id AND d.ds = mm.ds)),
+gapped AS (SELECT series_id, count(*) AS n, string_agg(strftime(ds, '%Y-%m'), ', ' ORDER BY ds) FILTER (WHERE pos <= 10) AS listed FROM gaps GROUP BY 1),
 clean AS (SELECT * FROM dirty WHERE price IS NOT NULL),
 z AS (SELECT *, (price - avg(price) OVER (PARTITION BY series_id)) / nullif(stddev_samp(price) OVER (PARTITION BY series_id), 0) AS z FROM clean),
 far AS (SELECT series_id, count(*) AS n, string_agg(strftime(ds, '%Y-%m') || '=' || format('{{:.2f}}', price), ', ' ORDER BY ds, price) AS rows FROM z WHERE abs(z) > 3 GROUP BY 1),
@@ -223,7 +240,7 @@ flat AS (SELECT series_id, length, e, row_number() OVER (PARTITION BY series_id
 SELECT series_id, 'missing_or_non_numeric_price' AS "check", 'warning' AS severity, missing || ' of ' || n || ' price values are missing or non-numeric' AS detail FROM per WHERE missing > 0
 UNION ALL SELECT series_id, 'duplicate_dates', 'error', repeats || ' duplicate date(s) in the price index' FROM per WHERE repeats > 0
 UNION ALL SELECT series_id, 'negative_price', 'warning', negative || ' negative price value(s)' FROM per WHERE negative > 0
-UNION ALL SELECT series_id, 'missing_calendar_periods', 'error', n || ' missing periods: ' || some || CASE WHEN n > 10 THEN ' ...' ELSE '' END FROM gapped
+UNION ALL SELECT series_id, 'missing_calendar_periods', 'error', n || ' missing periods: ' || listed || CASE WHEN n > 10 THEN ' ...' ELSE '' END FROM gapped
 UNION ALL SELECT series_id, 'price_outliers', 'warning', n || ' value(s) with |z-score| > 3: ' || rows FROM far
 UNION ALL SELECT series_id, 'flat_stretch', 'info', length || ' consecutive identical price values ending ' || strftime(e, '%Y-%m') FROM flat WHERE k = 1""")
 def quality_flags(spark, sf_dir):
@@ -340,7 +357,7 @@ def assemble(spark, sf_dir):
     prices, _, _, chosen = _chosen(spark, sf_dir)
     full = features.complete_cases(features.engineer(prices))
     out = drivers.assemble(full, drivers.gated_drivers(prices, chosen))
-    told = F.array_join(F.transform(F.array_sort(F.map_entries("drivers")), lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.4f", F.bround(e["value"], 4)))), ";")
+    told = F.array_join(F.transform(F.array_sort(F.map_entries("drivers")), lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.4f", S.round_to(e["value"], 4)))), ";")
     return rounded(out.select("series_id", "ds", "lag_1", told.alias("told")))
 
 
@@ -512,7 +529,7 @@ def vintage_matrix(spark, sf_dir):
 
 _K = "series_id, technique, horizon"
 SCORE_SQL = f"""{DETAIL_SQL}, cyc AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY {_K} ORDER BY train_end DESC) <= 2 THEN 1.5 ELSE 1.0 END AS w, CASE WHEN horizon = 'long' THEN da_abs ELSE da END AS dir FROM summary WHERE months_evaluated > 0),
-pc AS (SELECT {_K}, count(*) AS evaluated_cycles, avg(least(100.0, greatest(0.0, dir))) AS direction, avg(mpe) AS mean_mpe, sum(least(100.0, greatest(0.0, 100 - mape)) * w) / sum(w) AS recency FROM cyc GROUP BY ALL),
+pc AS (SELECT {_K}, count(*) AS evaluated_cycles, avg(CASE WHEN dir IS NOT NULL THEN least(100.0, greatest(0.0, dir)) END) AS direction, avg(mpe) AS mean_mpe, sum(CASE WHEN mape IS NOT NULL THEN least(100.0, greatest(0.0, 100 - mape)) * w END) / sum(CASE WHEN mape IS NOT NULL THEN w END) AS recency FROM cyc GROUP BY ALL),
 ra AS (SELECT {_K}, avg(accuracy) AS accuracy FROM detail GROUP BY ALL),
 dw AS (SELECT {_K}, window_no, CASE WHEN count(predicted) >= 2 AND avg(predicted) <> 0 THEN stddev_samp(predicted) / abs(avg(predicted)) END AS cv_p, CASE WHEN count(actual) >= 2 AND avg(actual) <> 0 THEN stddev_samp(actual) / abs(avg(actual)) END AS cv_a, count(actual) AS na FROM detail GROUP BY ALL),
 dy AS (SELECT {_K}, avg(CASE WHEN cv_a > 0 AND cv_p IS NOT NULL THEN least(100.0, greatest(0.0, 100 * (1 - abs(cv_p - cv_a) / cv_a))) END) AS dynamism, avg(cv_p * 100) AS pcv FROM dw WHERE na > 0 GROUP BY ALL),
@@ -693,7 +710,114 @@ def selection_history(spark, sf_dir):
 def final_forecast_rows(spark, sf_dir):
     best, log = _decisions(spark, sf_dir)
     rows = governance.final_forecast_rows(best, governance.current_decisions(log, best), _ranks(spark, sf_dir))
-    return rows.select("series_id", "horizon", F.col("best.technique").alias("technique"), F.bround("best.composite", 4).alias("composite"), "status")
+    return rows.select("series_id", "horizon", F.col("best.technique").alias("technique"), S.round_to("best.composite", 4).alias("composite"), "status")
+
+
+# --- model fits and tests (kernels: no SQL) -----------------------------------
+
+TYPES = "p_type"  # six series: kernels are tried on these
+
+
+def _fit_data(spark, sf_dir):
+    return calendar.dense_grid(tables.fact_price(spark, sf_dir, TYPES)), tables.fact_driver(spark, sf_dir, TYPES)
+
+
+def _tried(spark, sf_dir, names, told=False):
+    prices, raw = _fit_data(spark, sf_dir)
+    windows = calendar.backtest_windows(prices, ANCHOR, n_windows=4)
+    gated = pipeline.prepare_drivers(prices, raw)[1] if told else None
+    made, _ = engines.run_technique_set(prices, windows, names, 6, gated, 2)
+    return rounded(backtest.summarise(backtest.evaluate(made.where("error is null").drop("seed", "error"), prices, "short", 1, 3)), 4)
+
+
+for _name, _members, _told in (
+    ("fit_arima_family", ["arima", "sarima", "arima_garch", "sarima_garch"], False), ("fit_ets", ["ets"], False), ("fit_trees", ["rf", "lgbm"], False), ("fit_markov", ["markov_switching"], False),
+    ("fit_arimax_family", ["arimax", "sarimax"], True), ("fit_var_vecm", ["var", "vecm"], True), ("fit_direct_trees", ["rf_ext", "lgbm_ext"], True),
+):
+    query(_name)(lambda spark, sf_dir, m=_members, t=_told: _tried(spark, sf_dir, m, t))
+
+
+@query("stationarity")
+def stationarity(spark, sf_dir):
+    return rounded(engines.stationarity(_prices(spark, sf_dir)))
+
+
+@query("driver_tests")
+def driver_tests(spark, sf_dir):
+    prices, raw = _fit_data(spark, sf_dir)
+    return rounded(engines.driver_tests(prices, pipeline.prepare_drivers(prices, raw)[1]))
+
+
+@query("driver_importance")
+def driver_importance(spark, sf_dir):
+    prices, raw = _fit_data(spark, sf_dir)
+    return rounded(engines.combined_importance(engines.importance(prices, pipeline.prepare_drivers(prices, raw)[1], 3)))
+
+
+@query("select_drivers")
+def select_drivers(spark, sf_dir):
+    prices, raw = _fit_data(spark, sf_dir)
+    return pipeline.select_drivers(prices, raw, Run(stability_runs=2), min_corr=0.1)
+
+
+@query("decomposition")
+def decomposition(spark, sf_dir):
+    return rounded(engines.decomposition(_prices(spark, sf_dir)))
+
+
+@query("partial_autocorrelation")
+def partial_autocorrelation(spark, sf_dir):
+    return rounded(engines.partial_autocorrelations(_prices(spark, sf_dir)))
+
+
+@query("project_drivers")
+def project_drivers(spark, sf_dir):
+    prices, raw = _fit_data(spark, sf_dir)
+    return rounded(engines.project_drivers(raw, calendar.backtest_windows(prices, ANCHOR, n_windows=2)), 4)
+
+
+ABLATION_SQL = f"""{SCORE_SQL}, m AS (SELECT series_id, technique, avg(mape) AS mape FROM summary WHERE horizon = 'long' AND months_evaluated > 0 GROUP BY 1, 2),
+named AS (SELECT series_id, CASE technique WHEN 'drift' THEN 'var' WHEN 'last_value' THEN 'arima' ELSE 'sarima' END AS technique, mape FROM m)
+SELECT a.series_id, a.technique, round_even(a.mape, 6) + 0.0 AS mape, round_even(b.mape, 6) + 0.0 AS sibling_mape, coalesce(b.mape - a.mape > 1.5, false) AS ablation_passed FROM named a LEFT JOIN named b ON a.series_id = b.series_id AND b.technique = 'arima' WHERE a.technique = 'var'"""
+
+
+@query("ablation", f"WITH {ABLATION_SQL}")
+def ablation(spark, sf_dir):
+    """The ablation rule on baselines that stand in for a model with drivers and its sibling."""
+    detail = _detail(spark, sf_dir)[1]
+    name = F.when(F.col("technique") == "drift", "var").when(F.col("technique") == "last_value", "arima").otherwise("sarima")
+    out = gate.ablation(backtest.summarise(detail).withColumn("technique", name))
+    return rounded(out.select("series_id", "technique", "mape", "sibling_mape", "ablation_passed"))
+
+
+@query("permutation_test", f"""WITH {DETAIL_SQL}, w AS (SELECT series_id, window_no, mape FROM summary WHERE technique = 'drift' AND horizon = 'short' AND mape IS NOT NULL), r AS (SELECT series_id, round_even(avg(mape), 6) AS real FROM w GROUP BY 1)
+SELECT r.series_id, 'var' AS technique, r.real + 0.0 AS real_mape, count(*) AS n_permutations, round_even((count(*) FILTER (WHERE round_even(w.mape, 6) <= r.real) + 1.0) / (count(*) + 1.0), 6) + 0.0 AS p_value, (count(*) FILTER (WHERE round_even(w.mape, 6) <= r.real) + 1.0) / (count(*) + 1.0) < 0.05 AS permutation_passed FROM r JOIN w ON r.series_id = w.series_id GROUP BY 1, 2, 3""")
+def permutation_test(spark, sf_dir):
+    """The smoothed p-value rule; windows stand in for shuffled runs."""
+    rows = backtest.summarise(_detail(spark, sf_dir)[1]).where("technique = 'drift' and horizon = 'short' and mape is not null").withColumn("technique", F.lit("var"))
+    real = rows.groupBy("series_id", "technique").agg(S.round_to(F.avg("mape"), 6).alias("mape"))
+    return rounded(gate.permutation(real, rows.select("series_id", "technique", F.col("window_no").alias("seed"), S.round_to("mape", 6).alias("mape"))))
+
+
+@query("run_batch")
+def run_batch(spark, sf_dir):
+    """The whole run in its fast form, with four techniques."""
+    prices, raw = _fit_data(spark, sf_dir)
+    out = pipeline.run_batch(prices, raw, Run(anchor=ANCHOR).fast(), ["arima", "ets", "var", "arimax"])
+    return _flat(out["ranks"], "rank")
+
+
+@query("registry_predictions")
+def registry_predictions(spark, sf_dir):
+    prices, raw = _fit_data(spark, sf_dir)
+    out = pipeline.run_batch(prices, None, Run(anchor=ANCHOR).fast(), ["arima", "ets"])
+    registry = pipeline.model_registry(out["ranks"], out["best"], prices, "2024-01-01")
+    return rounded(pipeline.predict(registry, prices, None), 4)
+
+
+@query("dim_horizon", "SELECT * FROM (VALUES " + ", ".join(f"('{f}', '{b}', {lo}, {hi})" for f, by in HORIZONS.items() for b, (lo, hi) in by.items()) + ") v(frequency, bucket, m_start, m_end)")
+def horizon_table(spark, sf_dir):
+    return dim_horizon(spark)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import round_to
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,7 +36,7 @@ def line_months(spark: SparkSession, sf_dir: str, series: str = "p_brand") -> Da
 
 
 def fact_price(spark: SparkSession, sf_dir: str, series: str = "p_brand") -> DataFrame:
-    return line_months(spark, sf_dir, series).select("series_id", "ds", F.bround(F.col("value") / F.col("volume"), 4).alias("price"))
+    return line_months(spark, sf_dir, series).select("series_id", "ds", round_to(F.col("value") / F.col("volume"), 4).alias("price"))
 
 
 def fact_driver(spark: SparkSession, sf_dir: str, series: str = "p_brand") -> DataFrame:
@@ -43,10 +45,10 @@ def fact_driver(spark: SparkSession, sf_dir: str, series: str = "p_brand") -> Da
     lines = line_months(spark, sf_dir, series)
     own = lines.select(
         "series_id", "ds",
-        F.bround(F.col("discount") / F.col("n"), 6).alias("discount"), F.bround(F.col("tax") / F.col("n"), 6).alias("tax"), "volume",
-        F.when(F.col("ds") >= F.lit("1999-01-01").cast("date"), F.bround(F.col("volume") / F.col("n"), 6)).alias("late_size"), F.lit(1.0).alias("constant"),
+        round_to(F.col("discount") / F.col("n"), 6).alias("discount"), round_to(F.col("tax") / F.col("n"), 6).alias("tax"), "volume",
+        F.when(F.col("ds") >= F.lit("1999-01-01").cast("date"), round_to(F.col("volume") / F.col("n"), 6)).alias("late_size"), F.lit(1.0).alias("constant"),
     )
-    orders = read(spark, sf_dir, "orders").groupBy(_month("o_orderdate").alias("ds")).agg(F.count("*").cast("double").alias("orders"), F.bround(_exact("o_totalprice") / F.count("*"), 4).alias("order_value"))
+    orders = read(spark, sf_dir, "orders").groupBy(_month("o_orderdate").alias("ds")).agg(F.count("*").cast("double").alias("orders"), round_to(_exact("o_totalprice") / F.count("*"), 4).alias("order_value"))
     wide = own.join(orders, "ds", "left")
     names = ["discount", "tax", "volume", "late_size", "constant", "orders", "order_value"]
     return wide.unpivot(["series_id", "ds"], names, "driver", "raw").where("raw is not null")
