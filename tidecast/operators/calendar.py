@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import PERIODS_PER_YEAR, shift_periods
 
-PER_SERIES = Window.partitionBy("series_id").orderBy("ds")
+def per_series():
+    """The rows of a series in order of time."""
+    return Window.partitionBy("series_id").orderBy("ds")
 
 
 def dense_grid(prices: DataFrame, frequency: str = "monthly") -> DataFrame:
@@ -39,7 +41,7 @@ def backtest_windows(prices: DataFrame, anchor: str, frequency: str = "monthly",
     last = rows.groupBy("series_id").agg(F.max("ds").alias("last"), n.alias("n")).where("n > 0")
     ends = last.select("series_id", "last", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("window_no"))
     ends = ends.select("series_id", "window_no", shift_periods("last", F.col("window_no") - F.col("n"), frequency).alias("train_end"))
-    ranks = rows.select("series_id", "ds", F.row_number().over(PER_SERIES).alias("n_train"))
+    ranks = rows.select("series_id", "ds", F.row_number().over(per_series()).alias("n_train"))
     found = ends.join(ranks, (ends.series_id == ranks.series_id) & (ranks.ds <= ends.train_end), "left")
     return found.groupBy(ends.series_id, "window_no", "train_end").agg(F.coalesce(F.max("n_train"), F.lit(0)).alias("n_train"))
 
@@ -47,7 +49,7 @@ def backtest_windows(prices: DataFrame, anchor: str, frequency: str = "monthly",
 def infer_frequency(dates: DataFrame) -> DataFrame:
     """(series_id, start, median_gap, frequency): monthly up to a median gap of 45
     days, quarterly up to 120, else unknown."""
-    gaps = dates.select("series_id", "ds").distinct().withColumn("gap", F.datediff("ds", F.lag("ds").over(PER_SERIES)))
+    gaps = dates.select("series_id", "ds").distinct().withColumn("gap", F.datediff("ds", F.lag("ds").over(per_series())))
     out = gaps.groupBy("series_id").agg(F.min("ds").alias("start"), F.percentile("gap", 0.5).alias("median_gap"))
     kind = F.when(F.col("median_gap") <= 45, "monthly").when(F.col("median_gap") <= 120, "quarterly").otherwise("unknown")
     return out.withColumn("frequency", kind)

@@ -14,7 +14,10 @@ from .calendar import future_grid
 MIN_OBS = 5
 MIN_COVERAGE_PCT = 70.0
 IMPUTE_WINDOW = 3
-PER_DRIVER = Window.partitionBy("series_id", "driver").orderBy("ds")
+
+
+def per_driver():
+    return Window.partitionBy("series_id", "driver").orderBy("ds")
 
 
 def lagged(drivers: DataFrame, low: int = 0, high: int = 3) -> DataFrame:
@@ -66,15 +69,15 @@ def adequacy_gate(prices: DataFrame, chosen: DataFrame, min_coverage_pct: float
 
 def impute_moving_average(rows: DataFrame, value: str = "lagged", window: int = IMPUTE_WINDOW) -> DataFrame:
     """Nulls become the mean of the trailing window, if it has any value; longer gaps stay."""
-    mean = F.avg(value).over(PER_DRIVER.rowsBetween(-(window - 1), 0))
+    mean = F.avg(value).over(per_driver().rowsBetween(-(window - 1), 0))
     return rows.withColumn(value, F.coalesce(F.col(value), mean))
 
 
 def impute_linear(rows: DataFrame, value: str = "lagged") -> DataFrame:
     """Nulls between two values lie on the line through them; after the last value
     it is repeated; before the first they stay null."""
-    before, after = PER_DRIVER.rowsBetween(Window.unboundedPreceding, 0), PER_DRIVER.rowsBetween(0, Window.unboundedFollowing)
-    place = F.row_number().over(PER_DRIVER)
+    before, after = per_driver().rowsBetween(Window.unboundedPreceding, 0), per_driver().rowsBetween(0, Window.unboundedFollowing)
+    place = F.row_number().over(per_driver())
     rows = rows.withColumn("_at", place).withColumn("_known", F.when(F.col(value).isNotNull(), F.struct("_at", F.col(value).alias("v"))))
     rows = rows.withColumn("_low", F.last("_known", True).over(before)).withColumn("_high", F.first("_known", True).over(after))
     share = (F.col("_at") - F.col("_low._at")) / F.nullif(F.col("_high._at") - F.col("_low._at"), F.lit(0))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import PERIODS_PER_YEAR, cyclic, safe_div, scale_periods
-from .calendar import PER_SERIES
+from .calendar import per_series
 
 # Sizes in months, and the least number of periods of a rolling window.
 LAGS = (1, 2, 3, 6, 12)
@@ -54,11 +54,11 @@ def _over(fn, frame, needed: int) -> Column:
 def engineer(prices: DataFrame, frequency: str = "monthly", leak: bool = True) -> DataFrame:
     """series_id, ds, price and all features, rows with gaps included. With leak,
     price_to_rolling_mean reads the current price, else the one before."""
-    s, back = sizes(frequency), lambda k: F.lag("price", k).over(PER_SERIES)
+    s, back = sizes(frequency), lambda k: F.lag("price", k).over(per_series())
     one = back(1)
     c: dict[str, Column] = {f"lag_{k}": back(k) for k in s["lags"]}
     for k in s["rolling"]:
-        frame = PER_SERIES.rowsBetween(-k, -1)
+        frame = per_series().rowsBetween(-k, -1)
         for name, fn in (("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max)):
             c[f"roll_{name}_{k}"] = _over(fn, frame, k)
     for k in s["rolling"]:
@@ -78,13 +78,13 @@ def engineer(prices: DataFrame, frequency: str = "monthly", leak: bool = True) -
     c |= {f"is_q{q}": (quarter == q).cast("int") for q in range(1, 5)}
     if frequency == "monthly":
         c |= {f"is_{m}": (month == i).cast("int") for i, m in enumerate(MONTHS, 1)}
-    before = PER_SERIES.rowsBetween(Window.unboundedPreceding, -1)
+    before = per_series().rowsBetween(Window.unboundedPreceding, -1)
     mean = F.avg("price").over(before)
     c |= {"expanding_mean": mean, "expanding_std": F.stddev_samp("price").over(before), "price_to_expanding_mean": safe_div(one, mean)}
     season = month if PERIODS_PER_YEAR[frequency] == 12 else quarter
     same = Window.partitionBy("series_id", season).orderBy("ds").rowsBetween(Window.unboundedPreceding, -1)
     c["seasonal_index"] = safe_div(F.avg("price").over(same), mean)
-    k, frame = s["long"], PER_SERIES.rowsBetween(-s["long"], -1)
+    k, frame = s["long"], per_series().rowsBetween(-s["long"], -1)
     c[f"rolling_mean_{k}"], c[f"rolling_std_{k}"] = _over(F.avg, frame, s["long_least"]), _over(F.stddev_samp, frame, s["long_least"])
     c[f"price_to_rolling_mean_{k}"] = safe_div(F.col("price") if leak else one, c[f"rolling_mean_{k}"])
     names = [n for n, _, _ in feature_table(frequency)]
@@ -103,4 +103,4 @@ def safe_features(step: int, frequency: str = "monthly") -> list[str]:
 
 def direct_target(features: DataFrame, step: int) -> DataFrame:
     """Adds target: the price `step` rows later (row based, after complete cases)."""
-    return features.withColumn("target", F.lead("price", step).over(PER_SERIES))
+    return features.withColumn("target", F.lead("price", step).over(per_series()))

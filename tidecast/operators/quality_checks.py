@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import round_to
 
 from ..functions.aggregates import kurtosis_excess, skewness_pop
-from .calendar import PER_SERIES, missing_periods
+from .calendar import per_series, missing_periods
 
 MAX_LISTED = 10
 FLAT_RUN = 4
@@ -32,7 +32,7 @@ def quality_flags(prices: DataFrame, frequency: str = "monthly") -> DataFrame:
         _flag(per.where("repeats > 0"), "duplicate_dates", "error", F.format_string("%d duplicate date(s) in the price index", "repeats")),
         _flag(per.where("negative > 0"), "negative_price", "warning", F.format_string("%d negative price value(s)", "negative")),
     ]
-    place = F.row_number().over(PER_SERIES)
+    place = F.row_number().over(per_series())
     gaps = missing_periods(rows.groupBy("series_id", "ds").agg(F.first("price").alias("price")), frequency).withColumn("at", place)
     gaps = gaps.groupBy("series_id").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.when(F.col("at") <= MAX_LISTED, F.struct("at", _month("ds").alias("m"))))).alias("some"))
     listed = F.array_join(F.transform("some", lambda x: x["m"]), ", ")
@@ -53,8 +53,8 @@ def quality_flags(prices: DataFrame, frequency: str = "monthly") -> DataFrame:
 
 def flat_runs(clean: DataFrame) -> DataFrame:
     """(series_id, run, price, length, end): stretches of equal consecutive prices."""
-    changed = F.coalesce((F.col("price") != F.lag("price").over(PER_SERIES)).cast("int"), F.lit(1))
-    runs = clean.withColumn("changed", changed).withColumn("run", F.sum("changed").over(PER_SERIES))
+    changed = F.coalesce((F.col("price") != F.lag("price").over(per_series())).cast("int"), F.lit(1))
+    runs = clean.withColumn("changed", changed).withColumn("run", F.sum("changed").over(per_series()))
     return runs.groupBy("series_id", "run").agg(F.min("price").alias("price"), F.count("*").alias("length"), F.max("ds").alias("end"))
 
 
@@ -69,14 +69,14 @@ def summary_statistics(prices: DataFrame) -> DataFrame:
 
 def trend(prices: DataFrame, window: int = 12) -> DataFrame:
     """Price with the mean and spread of the window that ends with it."""
-    frame = PER_SERIES.rowsBetween(-(window - 1), 0)
+    frame = per_series().rowsBetween(-(window - 1), 0)
     full = F.count("price").over(frame) >= window
     return prices.select("series_id", "ds", "price", F.when(full, F.avg("price").over(frame)).alias("rolling_mean"), F.when(full, F.stddev_samp("price").over(frame)).alias("rolling_std"))
 
 
 def returns(prices: DataFrame, window: int = 6) -> DataFrame:
     """Percentage returns, first differences and rolling volatility."""
-    last, frame = F.lag("price").over(PER_SERIES), PER_SERIES.rowsBetween(-(window - 1), 0)
+    last, frame = F.lag("price").over(per_series()), per_series().rowsBetween(-(window - 1), 0)
     rows = prices.select("series_id", "ds", "price", F.when(last != 0, (F.col("price") / last - 1) * 100).alias("ret"), (F.col("price") - last).alias("diff"))
     return rows.withColumn("volatility", F.when(F.count("ret").over(frame) >= window, F.stddev_samp("ret").over(frame)))
 
@@ -120,7 +120,7 @@ def histogram(prices: DataFrame, bins: int = 20) -> DataFrame:
 def autocorrelation(prices: DataFrame, lags: int = 12, value: str = "price") -> DataFrame:
     """(series_id, lag, acf) with the usual full-sample mean and variance."""
     whole = Window.partitionBy("series_id")
-    rows = prices.where(F.col(value).isNotNull()).withColumn("x", F.col(value) - F.avg(value).over(whole)).withColumn("at", F.row_number().over(PER_SERIES))
+    rows = prices.where(F.col(value).isNotNull()).withColumn("x", F.col(value) - F.avg(value).over(whole)).withColumn("at", F.row_number().over(per_series()))
     left = rows.select("series_id", "at", "x", F.explode(F.sequence(F.lit(0), F.lit(lags))).alias("lag"))
     right = rows.select("series_id", F.col("at").alias("other"), F.col("x").alias("y"))
     joined = left.join(right, (left.series_id == right.series_id) & (F.col("other") == F.col("at") - F.col("lag"))).groupBy(left.series_id, "lag").agg(F.sum(F.col("x") * F.col("y")).alias("c"))

@@ -217,7 +217,7 @@ dirty AS (SELECT series_id, ds, price FROM dirty0 UNION ALL SELECT series_id, ds
 
 
 def _dirty(spark, sf_dir):
-    at = F.row_number().over(calendar.PER_SERIES)
+    at = F.row_number().over(calendar.per_series())
     rows = _prices(spark, sf_dir).where("price is not null").withColumn("at", at).where("at not in (15, 16, 60)")
     price = F.when(F.col("at") == 9, None).when(F.col("at") == 20, -F.col("price")).when(F.col("at") == 33, F.col("price") * 9.017).when(F.col("at").between(40, 45), 1500.0).otherwise(F.col("price"))
     rows = rows.withColumn("price", price)
