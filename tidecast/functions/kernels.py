@@ -384,22 +384,19 @@ class Tree:
         self.nodes.append((-1, 0.0, -1, -1, float(y.mean())))
         if depth == 0 or len(y) < 2 * leaf or np.ptp(y) == 0:
             return at
-        best, n = (1e-12, None), len(y)
-        for j in rng.choice(x.shape[1], n_features, replace=False) if n_features < x.shape[1] else range(x.shape[1]):
-            order = np.argsort(x[:, j], kind="stable")
-            v, t = x[order, j], np.cumsum(y[order])
-            k = np.arange(leaf, n - leaf + 1)
-            k = k[v[k - 1] < v[np.minimum(k, n - 1)]] if len(k) else k
-            if not len(k):
-                continue
-            score = t[k - 1] ** 2 / k + (t[-1] - t[k - 1]) ** 2 / (n - k) - t[-1] ** 2 / n
-            i = int(score.argmax())
-            if score[i] > best[0]:
-                best = (float(score[i]), (int(j), float((v[k[i] - 1] + v[k[i]]) / 2)))
-        if best[1] is None:
+        n = len(y)
+        some = rng.choice(x.shape[1], n_features, replace=False) if n_features < x.shape[1] else np.arange(x.shape[1])
+        order = np.argsort(x[:, some], axis=0, kind="stable")
+        v, t = np.take_along_axis(x[:, some], order, 0), np.cumsum(y[order], axis=0)
+        k = np.arange(leaf, n - leaf + 1)[:, None]
+        low, total = t[k[:, 0] - 1], t[-1]
+        score = low**2 / k + (total - low) ** 2 / (n - k) - total**2 / n
+        score[v[k[:, 0] - 1] >= v[np.minimum(k[:, 0], n - 1)]] = -np.inf
+        i, c = np.unravel_index(int(score.argmax()), score.shape)
+        if not score[i, c] > 1e-12:
             return at
-        j, cut = best[1]
-        self.gain[j] += best[0]
+        j, cut = int(some[c]), float((v[k[i, 0] - 1, c] + v[k[i, 0], c]) / 2)
+        self.gain[j] += float(score[i, c])
         left = x[:, j] <= cut
         a = self._grow(x[left], y[left], depth - 1, leaf, n_features, rng)
         b = self._grow(x[~left], y[~left], depth - 1, leaf, n_features, rng)
@@ -407,13 +404,15 @@ class Tree:
         return at
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        out = np.empty(len(x))
-        for i, row in enumerate(x):
-            at = 0
-            while self.nodes[at][0] >= 0:
-                j, cut, a, b, _ = self.nodes[at]
-                at = a if row[j] <= cut else b
-            out[i] = self.nodes[at][4]
+        out, todo = np.empty(len(x)), [(0, np.arange(len(x)))]
+        while todo:
+            at, rows = todo.pop()
+            j, cut, a, b, mean = self.nodes[at]
+            if j < 0:
+                out[rows] = mean
+                continue
+            left = x[rows, j] <= cut
+            todo += [(a, rows[left]), (b, rows[~left])]
         return out
 
 

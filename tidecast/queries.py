@@ -724,9 +724,9 @@ def _fit_data(spark, sf_dir):
 
 def _tried(spark, sf_dir, names, told=False):
     prices, raw = _fit_data(spark, sf_dir)
-    windows = calendar.backtest_windows(prices, ANCHOR, n_windows=4)
+    windows = calendar.backtest_windows(prices, ANCHOR, n_windows=3)
     gated = pipeline.prepare_drivers(prices, raw)[1] if told else None
-    made, _ = engines.run_technique_set(prices, windows, names, 6, gated, 2)
+    made, _ = engines.run_technique_set(prices, windows, names, 3, gated, 2)
     return rounded(backtest.summarise(backtest.evaluate(made.where("error is null").drop("seed", "error"), prices, "short", 1, 3)), 4)
 
 
