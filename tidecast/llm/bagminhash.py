@@ -13,11 +13,11 @@ full (else it is doubled), so most shingles cost one draw.
 BANDS bands of ROWS registers make buckets. Texts with the same words are one
 class from the start. In each bucket every class is compared with one root; the
 exact weighted Jaccard of the multisets decides, and verified links are joined
-into components. Buckets that still hold several components get new roots by
-another order for a few rounds, then every pair of classes of different
-components in them is compared: no link between candidates goes missing, and a
-group of many near copies costs about one comparison for each copy, not each
-pair.
+into components. Buckets that still hold several components get new roots by another
+order, for STAR_ROUNDS - 1 rounds; then all classes of such buckets go through an
+exact prefix filter, and every pair of different components that passes it is
+compared. So no link between candidates goes missing, and a group of many near
+copies costs about one comparison for each copy, not each pair.
 
 Defined results: null texts count as empty; texts without words are copies of
 each other; repeated rows are returned as often as they come, under one class;
@@ -33,7 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import _Words
@@ -42,9 +42,9 @@ from .graph import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 20, 6
+BANDS, ROWS = 30, 8
 REGISTERS = BANDS * ROWS
-STAR_ROUNDS = 4
+STAR_ROUNDS = 3
 BROADCAST_IDS = 1_000_000
 _BLOCK_WORDS = 600_000
 _U = np.uint64
@@ -223,6 +223,30 @@ def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     return joined.select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a long, b long")
 
 
+def _prefix_pairs(nodes: DataFrame, bags: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Every pair (a, b) of nodes in different components that may reach the threshold,
+    by an exact prefix filter: with shingles in order from rare to frequent, two
+    similar multisets share one among the first of each, up to the place where
+    what follows weighs less than the threshold's share. A passage that many
+    texts share is frequent and so pairs none of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, component, bag in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                h, c = _unpack(bag)
+                n = len(h)
+                yield pa.RecordBatch.from_arrays([pa.array([node] * n, pa.int64()), pa.array([component] * n, pa.int64()), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64)), pa.array([int(c.sum())] * n, pa.int64())], ["node", "component", "shingle", "times", "total"])
+
+    rows = scratch.save(nodes.join(bags, "node").select("node", "component", "bag").mapInArrow(run, "node long, component long, shingle long, times long, total long"))
+    seen = rows.groupBy("shingle").agg(F.count("*").alias("seen")).where("seen > 1")
+    order = Window.partitionBy("node").orderBy(F.coalesce("seen", F.lit(1)), "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.join(seen, "shingle", "left").withColumn("before", F.coalesce(F.sum("times").over(order), F.lit(0)))
+    first = scratch.save(ranked.where(F.col("seen").isNotNull() & (F.col("before") <= (1 - threshold) * F.col("total") + 1e-9)).select("node", "component", "shingle", "total"))
+    other = first.select("shingle", F.col("node").alias("b"), F.col("component").alias("with"), F.col("total").alias("weight"))
+    near = (F.col("weight") >= threshold * F.col("total") - 1e-9) & (F.col("total") >= threshold * F.col("weight") - 1e-9)
+    return first.join(other, "shingle").where((F.col("node") > F.col("b")) & (F.col("component") != F.col("with")) & near).select(F.col("node").alias("a"), "b")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, component_id, kept) of every row: component_id is the smallest
     doc_id reachable by links of similarity >= threshold, kept marks it."""
@@ -240,28 +264,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     bags = scratch.save(_bags(texts).dropDuplicates(["node"]))
 
     tested = scratch.save(rows.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
-    edges = scratch.save(_verified(tested, bags, threshold))
-    found = scratch.save(components(edges, scratch))
-    for turn in range(STAR_ROUNDS + 1):
+    found = scratch.save(components(_verified(tested, bags, threshold), scratch))
+    for turn in range(1, STAR_ROUNDS + 1):
         labelled = rows.select("bucket", "node").join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
         mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("pick")).where("low < high")
         open_rows = labelled.join(mixed.select("bucket", F.col("pick.node").alias("root"), F.col("pick.component").alias("other")), "bucket")
         if turn < STAR_ROUNDS:
             pairs = open_rows.where("component != other").select(F.greatest("node", "root").alias("a"), F.least("node", "root").alias("b"))
         else:
-            open_rows = scratch.save(open_rows.select("bucket", "node", "component"))
-            right = open_rows.select("bucket", F.col("node").alias("b"), F.col("component").alias("with"))
-            pairs = open_rows.join(right, "bucket").where("node > b and component != with").select(F.col("node").alias("a"), "b")
+            pairs = _prefix_pairs(open_rows.select("node", "component").distinct(), bags, threshold, scratch)
         fresh = scratch.save(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
         if not fresh.count():
-            if turn < STAR_ROUNDS and mixed.limit(1).count():
-                continue
-            break
-        tested = scratch.save(tested.unionByName(fresh))
+            continue
         more = scratch.save(_verified(fresh, bags, threshold))
+        if turn < STAR_ROUNDS:
+            tested = scratch.save(tested.unionByName(fresh))
         if more.count():
-            edges = scratch.save(edges.unionByName(more))
-            found = scratch.save(components(edges, scratch))
+            found = scratch.save(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), scratch))
     merged = classes.select("key_high", "key_low", "node").join(found, "node", "left").select("key_high", "key_low", F.coalesce("component", "node").alias("component_id"))
     merged = scratch.save(merged)
     return signed.select("doc_id", "key_high", "key_low").join(merged, ["key_high", "key_low"]).select("doc_id", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
