@@ -82,9 +82,8 @@ def dedup_lines(docs: DataFrame, extra: tuple[str, ...] = (), min_docs: int = MI
     lost = scratch.save(dropped_lines(docs, scratch, min_docs, constant))
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"), *extra)
-    small = lost.count() <= BROADCAST_LEAVES // 5
     same = [rows["doc_id"].eqNullSafe(lost["doc_id"]), rows["text_hash"] == lost["text_hash"]]
-    found = rows.join(F.broadcast(lost) if small else lost, same, "left").select(rows["doc_id"], "text", "places", *extra)
+    found = rows.join(lost, same, "left").select(rows["doc_id"], "text", "places", *extra)
     parts: Column = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(parts, lambda line, at: ~F.array_contains("places", at)), "\n")
     return found.select(
