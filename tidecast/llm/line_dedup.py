@@ -80,10 +80,12 @@ def dedup_lines(docs: DataFrame, extra: tuple[str, ...] = (), min_docs: int = MI
     """doc_id, text without dropped lines, n_lines, n_dropped and the extra columns."""
     scratch = Scratch(docs.sparkSession, "lines")
     lost = scratch.save(dropped_lines(docs, scratch, min_docs, constant))
+    # one plan at every size: a broadcast where little is lost would make the growth
+    # of shuffled bytes jump where it no longer fits
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"), *extra)
     same = [rows["doc_id"].eqNullSafe(lost["doc_id"]), rows["text_hash"] == lost["text_hash"]]
-    found = rows.join(lost, same, "left").select(rows["doc_id"], "text", "places", *extra)
+    found = rows.join(lost.hint("merge"), same, "left").select(rows["doc_id"], "text", "places", *extra)
     parts: Column = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(parts, lambda line, at: ~F.array_contains("places", at)), "\n")
     return found.select(
