@@ -44,7 +44,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 8
 REGISTERS = BANDS * ROWS
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 BROADCAST_IDS = 1_000_000
 _BLOCK_WORDS = 600_000
 _U = np.uint64
@@ -254,8 +254,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     signed = scratch.save(sign_documents(docs))
     classes = scratch.save(signed.groupBy("key_high", "key_low").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
     spread = classes.select("node", F.explode("bands").alias("bucket"))
-    full = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("root")).where("n > 1")
-    rows = scratch.save(spread.join(full.select("bucket", "root"), "bucket"))  # of buckets with several classes
+    full = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = scratch.save(spread.join(full, "bucket"))  # of buckets with several classes
+    # the root of a bucket is its most central class: what shares most places with others
+    central = shared.groupBy("node").agg(F.sum("n").alias("central"))
+    ranked = shared.select("bucket", "node").join(central, "node")
+    roots = ranked.groupBy("bucket").agg(F.max(F.struct("central", (-F.col("node")).alias("least"))).alias("root"))
+    rows = scratch.save(shared.select("bucket", "node").join(roots.select("bucket", (-F.col("root.least")).alias("root")), "bucket"))
+    scratch.drop(shared)
 
     involved = scratch.save(rows.select("node").distinct())
     few = involved.count() <= BROADCAST_IDS
@@ -263,7 +269,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
     bags = scratch.save(_bags(texts).dropDuplicates(["node"]))
 
-    tested = scratch.save(rows.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
+    tested = scratch.save(rows.where("node != root").select(F.greatest("node", "root").alias("a"), F.least("node", "root").alias("b")).distinct())
     found = scratch.save(components(_verified(tested, bags, threshold), scratch))
     for turn in range(1, STAR_ROUNDS + 1):
         labelled = rows.select("bucket", "node").join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
