@@ -65,6 +65,14 @@ def test_near_duplicates_repeated_rows_and_empty_table(spark):
     assert bagminhash.near_duplicates(rows.limit(0)).count() == 0
 
 
+def test_near_duplicates_compare_every_text_of_an_id(spark):
+    texts = {a: " ".join("%s%d" % (a, i) for i in range(60)) for a in "abcdefgh"}
+    rows = [(1, t) for t in texts.values()] + [(10 + i, t + " end") for i, t in enumerate(texts.values())] + [(None, "x " + texts["a"]), (None, "no other text is like this one")]
+    got = bagminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert len(got) == len(rows)
+    assert (got[got.doc_id >= 10].component_id == 1).all() and sorted(got[got.doc_id.isna()].component_id.fillna(-1)) == [-1, 1]
+
+
 def test_signatures_are_unbiased():
     rng, errors = np.random.default_rng(3), []
     for _ in range(60):

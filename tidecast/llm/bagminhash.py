@@ -21,7 +21,10 @@ copies costs about one comparison for each copy, not each pair.
 
 Defined results: null texts count as empty; texts without words are copies of
 each other; repeated rows are returned as often as they come, under one class;
-an empty table gives an empty result; other columns are not read.
+classes go by text alone, so unlike texts under one id, or under no id, are
+compared like any others; component_id is the smallest id of a component, null
+where none of its rows has one, and two components may carry the same one where an
+id repeats; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import _Words
@@ -169,9 +172,13 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[list[str]]]]:
         yield start, held
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+
+
 def sign_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, key_high, key_low, bands): the fingerprint of the word sequence and
-    the bucket of each band; no buckets for texts without words."""
+    """(doc_id, text_hash, key_high, key_low, bands): the fingerprint of the word sequence
+    and the bucket of each band; no buckets for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,9 +187,10 @@ def sign_documents(docs: DataFrame) -> DataFrame:
                 bags = [shingle_counts(w) for w in texts]
                 bands = band_hashes(signatures(bags))
                 listed = pa.array([b if len(bag[0]) else [] for b, bag in zip(bands, bags)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), pa.array(prints[:, 0]), pa.array(prints[:, 1]), listed], ["doc_id", "key_high", "key_low", "bands"])
+                own = [batch.column(k).slice(start, len(texts)) for k in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(prints[:, 0]), pa.array(prints[:, 1]), listed], ["doc_id", "text_hash", "key_high", "key_low", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, key_high long, key_low long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash()).mapInArrow(run, "doc_id long, text_hash long, key_high long, key_low long, bands array<long>")
 
 
 def _bags(docs: DataFrame) -> DataFrame:
@@ -194,7 +202,7 @@ def _bags(docs: DataFrame) -> DataFrame:
                 bags = [h.tobytes() + c.astype(np.int32).tobytes() for h, c in map(shingle_counts, texts)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), pa.array(bags, pa.binary())], ["node", "bag"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "node long, bag binary")
+    return docs.select("node", "text").mapInArrow(run, "node long, bag binary")
 
 
 def _unpack(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -247,12 +255,15 @@ def _prefix_pairs(nodes: DataFrame, bags: DataFrame, threshold: float, scratch:
     return first.join(other, "shingle").where((F.col("node") > F.col("b")) & (F.col("component") != F.col("with")) & near).select(F.col("node").alias("a"), "b")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, component_id, kept) of every row: component_id is the smallest
-    doc_id reachable by links of similarity >= threshold, kept marks it."""
+def _heads(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, text_hash, head) of every row: head is the (doc_id, text_hash) that comes
+    first among the rows with an id reachable by links of similarity >= threshold."""
     scratch = Scratch(docs.sparkSession, "near")
     signed = scratch.save(sign_documents(docs))
-    classes = scratch.save(signed.groupBy("key_high", "key_low").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
+    # numbers of classes are fixed as they are written, and no two classes share one
+    row = F.struct("doc_id", "text_hash")
+    classes = signed.groupBy("key_high", "key_low").agg(F.min(F.when(F.col("doc_id").isNotNull(), row)).alias("head"), F.min(row).alias("sample"), F.first("bands").alias("bands"))
+    classes = scratch.save(classes.withColumn("node", F.monotonically_increasing_id()))
     spread = classes.select("node", F.explode("bands").alias("bucket"))
     full = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = scratch.save(spread.join(full, "bucket"))  # of buckets with several classes
@@ -263,11 +274,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = scratch.save(shared.select("bucket", "node").join(roots.select("bucket", (-F.col("root.least")).alias("root")), "bucket"))
     scratch.drop(shared)
 
-    involved = scratch.save(rows.select("node").distinct())
+    # the text of one row stands for its class
+    involved = scratch.save(classes.join(rows.select("node").distinct(), "node").select("node", "sample.*"))
     few = involved.count() <= BROADCAST_IDS
-    ids = involved.withColumnRenamed("node", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    bags = scratch.save(_bags(texts).dropDuplicates(["node"]))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash())
+    same = [texts["doc_id"].eqNullSafe(involved["doc_id"]), texts["text_hash"] == involved["text_hash"]]
+    bags = scratch.save(_bags(texts.join(F.broadcast(involved) if few else involved, same).select("node", "text")).dropDuplicates(["node"]))
 
     tested = scratch.save(rows.where("node != root").select(F.greatest("node", "root").alias("a"), F.least("node", "root").alias("b")).distinct())
     found = scratch.save(components(_verified(tested, bags, threshold), scratch))
@@ -287,9 +299,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             tested = scratch.save(tested.unionByName(fresh))
         if more.count():
             found = scratch.save(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), scratch))
-    merged = classes.select("key_high", "key_low", "node").join(found, "node", "left").select("key_high", "key_low", F.coalesce("component", "node").alias("component_id"))
-    merged = scratch.save(merged)
-    return signed.select("doc_id", "key_high", "key_low").join(merged, ["key_high", "key_low"]).select("doc_id", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    linked = found.join(classes.select("node", "head"), "node")
+    heads = linked.select("node", "component").join(linked.groupBy("component").agg(F.min("head").alias("first")), "component").select("node", "first")
+    merged = scratch.save(classes.select("key_high", "key_low", "node", "head").join(heads, "node", "left").select("key_high", "key_low", F.coalesce("first", "head").alias("head")))
+    return signed.select("doc_id", "text_hash", "key_high", "key_low").join(merged, ["key_high", "key_low"]).select("doc_id", "text_hash", "head")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, component_id, kept) of every row: component_id is the smallest
+    doc_id reachable by links of similarity >= threshold, kept marks it."""
+    component = F.col("head.doc_id")
+    return _heads(docs, threshold).select("doc_id", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
