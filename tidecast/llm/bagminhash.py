@@ -313,10 +313,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that stay: of each group of near duplicates the smallest
-    doc_id, and one row of it where the id is repeated (a null id stays)."""
-    gone = Scratch(docs.sparkSession, "gone").save(near_duplicates(docs, threshold).where("not kept").select("doc_id").distinct())
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    """The rows of docs that stay: of each group of near duplicates the one with the
+    smallest doc_id (of several texts under that id, the one of the smallest hash),
+    and one row of it where id and text are repeated. Rows that only share an id
+    stay, and so do all rows with a null id."""
+    left = F.col("doc_id").isNotNull() & (F.struct("doc_id", "text_hash") != F.col("head"))
+    gone = Scratch(docs.sparkSession, "gone").save(_heads(docs, threshold).where(left).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct())
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
     few = gone.count() <= BROADCAST_IDS
-    stay = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
-    return stay.dropDuplicates(["doc_id"]) if repeated else stay
+    same = (F.col("doc_id").cast("long") == F.col("gone_id")) & (_text_hash() == F.col("gone_hash"))
+    stay = docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
+    if not repeated:
+        return stay
+    once = stay.where("doc_id is not null").withColumn("kept_hash", _text_hash()).dropDuplicates(["doc_id", "kept_hash"]).drop("kept_hash")
+    return once.unionByName(stay.where("doc_id is null"))
