@@ -39,8 +39,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines of recurring templates, their first occurrence kept."""
-    return _documents(line_dedup.dedup_lines(docs, KEPT))
+    """Texts without the lines of recurring templates, long passages and short lines, their first occurrence kept."""
+    return _documents(line_dedup.dedup_lines(docs, KEPT, whole=True))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -179,6 +179,20 @@ def test_line_dedup_matches_sql(spark, name):
     assert (got.n_dropped > 0).any()
 
 
+def line_stage(spark, rows):
+    docs = spark.createDataFrame([(*r, "en", "x") for r in rows], "doc_id long, text string, lang string, source string")
+    return pytest.importorskip("corpus_pipeline").line_stage(spark, docs, "").toPandas().set_index("doc_id").text
+
+
+@pytest.mark.parametrize("n", [100, 1_000, 10_000])
+def test_two_field_template_goes_at_every_size(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, f"Our shop in {'c' + chr(97 + a % 25) + chr(97 + a // 25)} greets all {'v' + chr(97 + b % 25) + chr(97 + b // 25)} guests") for i, (a, b) in enumerate(rng.integers(0, 50, (n, 2)))]
+    rows = [(i, t + " today") for i, t in rows]
+    got = line_stage(spark, rows)
+    assert len(got) == n and got.index[got != ""].tolist() == [0]
+
+
 def test_registered_queries_run(spark, sf_dir):
     for name in ("op1_line_dedup", "op4_bagminhash", "op5_rabitq", "op6_ann"):
         assert queries.queries()[name](spark, sf_dir).count() > 0

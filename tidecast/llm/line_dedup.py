@@ -10,6 +10,14 @@ recurs when lines of it occur in at least MIN_DOCS documents. Every line of a
 recurring template is dropped but the first (by document id, then text hash,
 then place), so nothing disappears from the corpus altogether.
 
+ORACLE_SQL holds these rules, and so does the op1 query. The pipeline drops more
+(whole=True): a second template, whose constant tokens also need SHARE of the
+leaf's lines, so that the values of a variable field stay variable in leaves of any
+size. A line goes if any of
+its templates recurs and it is not the first there; the first line of all that hang
+together by templates is first in each of its own and stays. A template with less
+than SHARE of a leaf that it shares with others is found by the first rule only.
+
 Only hashes of lines are shuffled to find leaves that recur; token rows are made
 for distinct lines of those leaves alone, and counts are aggregated before each
 exchange, so a line that stands in a third of all documents costs a row a task.
@@ -33,6 +41,7 @@ MIN_TOKENS = 3
 MIN_DOCS = 5
 CONSTANT = 0.75
 WILD = "<*>"
+SHARE = 0.2
 BROADCAST_LEAVES = 500_000
 
 
@@ -47,18 +56,22 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_hash", "place", "n", F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf"), F.xxhash64("masked").alias("line_key"), "masked")
 
 
-def _templates(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
-    """(leaf, line_key, template) of the distinct lines of leaves with several."""
+def _templates(lines: DataFrame, min_docs: int, constant: float, share: float = 0.0) -> DataFrame:
+    """(leaf, line_key, template) of the distinct lines of leaves with several; tokens
+    of less than a share of the leaf's lines are variable."""
     variants = lines.groupBy("leaf", "line_key").agg(F.count("*").alias("times"), F.first("masked").alias("masked"), F.first("n").alias("n"))
     tokens = variants.select("leaf", "line_key", "n", "times", F.posexplode(F.split("masked", " ", -1)).alias("at", "token"))
     support = tokens.groupBy("leaf", "at", "token").agg(F.sum("times").alias("support")).where(F.col("support") >= min_docs)
+    if share:
+        sizes = variants.groupBy("leaf").agg(F.sum("times").alias("size"))
+        support = support.join(sizes, "leaf").where(F.col("support") >= share * F.col("size")).drop("size")
     marked = tokens.join(support, ["leaf", "at", "token"], "left").select("leaf", "line_key", "n", "at", F.when(F.col("support").isNotNull() & (F.col("token") != WILD), F.col("token")).alias("token"))
     merged = marked.groupBy("leaf", "line_key", "n").agg(F.count("token").alias("same"), F.sort_array(F.collect_list(F.struct("at", F.coalesce("token", F.lit(WILD)).alias("token")))).alias("parts"))
     pattern = F.xxhash64("leaf", F.concat_ws(" ", F.transform("parts", lambda x: x["token"])))
     return merged.select("leaf", "line_key", F.when(F.col("same") >= F.ceil(F.col("n") * F.lit(constant)), pattern).otherwise(F.col("line_key")).alias("template"))
 
 
-def dropped_lines(docs: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, constant: float = CONSTANT) -> DataFrame:
+def dropped_lines(docs: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, constant: float = CONSTANT, whole: bool = False) -> DataFrame:
     """(doc_id, text_hash, places): the lines that each document loses."""
     lines = _lines(docs)
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("line_key").alias("low"), F.max("line_key").alias("high"))
@@ -68,18 +81,23 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, c
     recurring = scratch.save(recurring.withColumn("masked", F.when(F.col("varied"), F.col("masked"))))
     templates = _templates(recurring.where("varied"), min_docs, constant)
     named = recurring.drop("masked").join(templates, ["leaf", "line_key"], "left")
-    named = scratch.save(named.select("doc_id", "text_hash", "place", F.coalesce("template", "line_key").alias("template")))
-    firsts = named.groupBy("template", "doc_id").agg(F.min(F.struct("text_hash", "place")).alias("first"))
-    firsts = firsts.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("doc_id", "first")).alias("first"))
-    firsts = firsts.where(F.col("docs") >= min_docs).select("template", F.col("first.doc_id").alias("first_doc"), F.col("first.first.text_hash").alias("first_hash"), F.col("first.first.place").alias("first_place"))
+    named = named.select("doc_id", "text_hash", "place", F.coalesce("template", "line_key").alias("template"), F.lit(min_docs).alias("least"))
+    if whole:
+        wide = _templates(recurring.where("varied"), min_docs, constant, SHARE)
+        wide = recurring.join(wide, ["leaf", "line_key"]).where(F.col("template") != F.col("line_key"))
+        named = named.unionByName(wide.select("doc_id", "text_hash", "place", F.xxhash64(F.lit("wide"), "template").alias("template"), F.lit(min_docs).alias("least")))
+    named = scratch.save(named)
+    firsts = named.groupBy("template", "doc_id").agg(F.min(F.struct("text_hash", "place")).alias("first"), F.min("least").alias("least"))
+    firsts = firsts.groupBy("template").agg(F.count("*").alias("docs"), F.min("least").alias("least"), F.min(F.struct("doc_id", "first")).alias("first"))
+    firsts = firsts.where(F.col("docs") >= F.col("least")).select("template", F.col("first.doc_id").alias("first_doc"), F.col("first.first.text_hash").alias("first_hash"), F.col("first.first.place").alias("first_place"))
     is_first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_hash")) & (F.col("place") == F.col("first_place"))
     return named.join(firsts, "template").where(~is_first).groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places"))
 
 
-def dedup_lines(docs: DataFrame, extra: tuple[str, ...] = (), min_docs: int = MIN_DOCS, constant: float = CONSTANT) -> DataFrame:
+def dedup_lines(docs: DataFrame, extra: tuple[str, ...] = (), min_docs: int = MIN_DOCS, constant: float = CONSTANT, whole: bool = False) -> DataFrame:
     """doc_id, text without dropped lines, n_lines, n_dropped and the extra columns."""
     scratch = Scratch(docs.sparkSession, "lines")
-    lost = scratch.save(dropped_lines(docs, scratch, min_docs, constant))
+    lost = scratch.save(dropped_lines(docs, scratch, min_docs, constant, whole))
     # one plan at every size: a broadcast where little is lost would make the growth
     # of shuffled bytes jump where it no longer fits
     text = F.coalesce("text", F.lit(""))
