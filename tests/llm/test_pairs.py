@@ -193,6 +193,12 @@ def test_two_field_template_goes_at_every_size(spark, n):
     assert len(got) == n and got.index[got != ""].tolist() == [0]
 
 
+def test_long_passages_go_from_two_documents_on(spark):
+    passage = " ".join("w" + chr(97 + i % 26) + chr(97 + i // 26) for i in range(60))
+    text = line_stage(spark, [(i, f"own{i}\n\n" + (passage if i in (3, 7) else f"no {i}")) for i in range(12)])
+    assert [i for i in text.index if passage in text[i]] == [3] and all(text[i].startswith(f"own{i}\n") for i in range(12))
+
+
 def test_registered_queries_run(spark, sf_dir):
     for name in ("op1_line_dedup", "op4_bagminhash", "op5_rabitq", "op6_ann"):
         assert queries.queries()[name](spark, sf_dir).count() > 0

@@ -13,7 +13,7 @@ then place), so nothing disappears from the corpus altogether.
 ORACLE_SQL holds these rules, and so does the op1 query. The pipeline drops more
 (whole=True): a second template, whose constant tokens also need SHARE of the
 leaf's lines, so that the values of a variable field stay variable in leaves of any
-size. A line goes if any of
+size; exact lines of LONG tokens or more that stand in LONG_DOCS documents. A line goes if any of
 its templates recurs and it is not the first there; the first line of all that hang
 together by templates is first in each of its own and stays. A template with less
 than SHARE of a leaf that it shares with others is found by the first rule only.
@@ -42,6 +42,7 @@ MIN_DOCS = 5
 CONSTANT = 0.75
 WILD = "<*>"
 SHARE = 0.2
+LONG, LONG_DOCS = 50, 2
 BROADCAST_LEAVES = 500_000
 
 
@@ -56,6 +57,15 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_hash", "place", "n", F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf"), F.xxhash64("masked").alias("line_key"), "masked")
 
 
+def _exact(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, place, template, least of long lines as they stand."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n", -1)).alias("place", "line")).where(F.trim("line") != "")
+    n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    least = F.when(n >= LONG, LONG_DOCS)
+    return rows.select("doc_id", "text_hash", "place", F.xxhash64(F.lit("exact"), "line").alias("template"), least.alias("least")).where(F.col("least").isNotNull())
+
+
 def _templates(lines: DataFrame, min_docs: int, constant: float, share: float = 0.0) -> DataFrame:
     """(leaf, line_key, template) of the distinct lines of leaves with several; tokens
     of less than a share of the leaf's lines are variable."""
@@ -86,6 +96,7 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, c
         wide = _templates(recurring.where("varied"), min_docs, constant, SHARE)
         wide = recurring.join(wide, ["leaf", "line_key"]).where(F.col("template") != F.col("line_key"))
         named = named.unionByName(wide.select("doc_id", "text_hash", "place", F.xxhash64(F.lit("wide"), "template").alias("template"), F.lit(min_docs).alias("least")))
+        named = named.unionByName(_exact(docs))
     named = scratch.save(named)
     firsts = named.groupBy("template", "doc_id").agg(F.min(F.struct("text_hash", "place")).alias("first"), F.min("least").alias("least"))
     firsts = firsts.groupBy("template").agg(F.count("*").alias("docs"), F.min("least").alias("least"), F.min(F.struct("doc_id", "first")).alias("first"))
