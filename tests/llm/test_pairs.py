@@ -199,6 +199,12 @@ def test_long_passages_go_from_two_documents_on(spark):
     assert [i for i in text.index if passage in text[i]] == [3] and all(text[i].startswith(f"own{i}\n") for i in range(12))
 
 
+def test_short_lines_go(spark):
+    text = line_stage(spark, [(i, f"own{i}\nRead more\n" + ("ok" if i < 9 else "")) for i in range(12)])
+    assert [i for i in text.index if "Read more" in text[i]] == [0]
+    assert all("ok" in text[i] for i in range(9)) and all(f"own{i}\n" in text[i] for i in range(12))
+
+
 def test_registered_queries_run(spark, sf_dir):
     for name in ("op1_line_dedup", "op4_bagminhash", "op5_rabitq", "op6_ann"):
         assert queries.queries()[name](spark, sf_dir).count() > 0

@@ -13,7 +13,8 @@ then place), so nothing disappears from the corpus altogether.
 ORACLE_SQL holds these rules, and so does the op1 query. The pipeline drops more
 (whole=True): a second template, whose constant tokens also need SHARE of the
 leaf's lines, so that the values of a variable field stay variable in leaves of any
-size; exact lines of LONG tokens or more that stand in LONG_DOCS documents. A line goes if any of
+size; exact lines of LONG tokens or more that stand in LONG_DOCS documents; and exact
+lines of fewer than MIN_TOKENS tokens that stand in SHORT_DOCS. A line goes if any of
 its templates recurs and it is not the first there; the first line of all that hang
 together by templates is first in each of its own and stays. A template with less
 than SHARE of a leaf that it shares with others is found by the first rule only.
@@ -22,8 +23,8 @@ Only hashes of lines are shuffled to find leaves that recur; token rows are made
 for distinct lines of those leaves alone, and counts are aggregated before each
 exchange, so a line that stands in a third of all documents costs a row a task.
 
-Defined results: null texts count as empty; lines of fewer than MIN_TOKENS
-tokens and empty lines always stay; a document may lose all its lines and stays
+Defined results: null texts count as empty; empty lines always stay, and so do
+lines of fewer than MIN_TOKENS tokens unless whole; a document may lose all its lines and stays
 as an empty text; rows that repeat id and text count as one document and get the
 same result; an empty table gives an empty result; other columns pass through
 only where asked for.
@@ -43,6 +44,7 @@ CONSTANT = 0.75
 WILD = "<*>"
 SHARE = 0.2
 LONG, LONG_DOCS = 50, 2
+SHORT_DOCS = 10
 BROADCAST_LEAVES = 500_000
 
 
@@ -58,11 +60,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _exact(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, place, template, least of long lines as they stand."""
+    """doc_id, text_hash, place, template, least of long and of short lines as they stand."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n", -1)).alias("place", "line")).where(F.trim("line") != "")
     n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    least = F.when(n >= LONG, LONG_DOCS)
+    least = F.when(n >= LONG, LONG_DOCS).when(n < MIN_TOKENS, SHORT_DOCS)
     return rows.select("doc_id", "text_hash", "place", F.xxhash64(F.lit("exact"), "line").alias("template"), least.alias("least")).where(F.col("least").isNotNull())
 
 
