@@ -203,6 +203,20 @@ def test_language_edges(spark):
     assert set(langid.identify(docs, nothing).toPandas().lang_pred) == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    names = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(70)]
+    rows = [(i * 10 + k, f"{x}{x}q {x}z{x} {x}{x}{x}", x) for i, x in enumerate(names) for k in range(3 if i < 69 else 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    assert model.languages == names
+    got = langid.identify(docs, model).toPandas().set_index("doc_id").lang_pred
+    assert all(got[i] == x for i, _, x in rows)
+    monkeypatch.setattr(langid, "MAX_GRAMS", 5)
+    many = [(i, "abcdefghijklmnop", "big") for i in range(20)] + [(100, "xyz", "rare")]
+    small = langid.learn(spark.createDataFrame(many, "doc_id long, text string, lang string"))
+    assert small.predict("xyz")[0] == "rare"
+
+
 def test_bloom_masks_hold_every_gram():
     rng = np.random.default_rng(1)
     grams = {x: rng.integers(0, 2**63, 3000).astype(np.uint64) for x in "abcdefghijk"}

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batch_rows
@@ -34,7 +34,7 @@ MAX_GRAMS = 20_000
 SLOTS = 1 << 18
 PROBES = 3
 SIZES = (1, 2, 3, 4)
-LANGUAGES_MAX = 64
+WORD = 64
 _LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -77,19 +77,19 @@ def gram_hashes(text: str) -> np.ndarray:
 @dataclass
 class BitSlicedFilter:
     languages: list[str]
-    slots: np.ndarray  # one mask of languages for each slot
+    slots: np.ndarray  # one mask of languages for each slot; beyond WORD languages a row of masks
     false_rate: np.ndarray  # of each language
 
     @classmethod
     def build(cls, grams: dict[str, np.ndarray], size: int = SLOTS) -> BitSlicedFilter:
         languages = sorted(grams)
-        slots = np.zeros(size, np.uint64)
+        slots = np.zeros((size, max(1, -(-len(languages) // WORD))), np.uint64)
         for bit, lang in enumerate(languages):
             for at in cls.places(grams[lang], size):
-                np.bitwise_or.at(slots, at, np.uint64(1 << bit))
-        fill = np.array([np.count_nonzero(slots & np.uint64(1 << b)) / size for b in range(len(languages))])
+                np.bitwise_or.at(slots[:, bit // WORD], at, np.uint64(1 << bit % WORD))
+        fill = np.array([np.count_nonzero(slots[:, b // WORD] & np.uint64(1 << b % WORD)) / size for b in range(len(languages))])
         kind = np.uint8 if len(languages) <= 8 else np.uint64
-        return cls(languages, slots.astype(kind), fill**PROBES)
+        return cls(languages, (slots if len(languages) > WORD else slots[:, 0]).astype(kind), fill**PROBES)
 
     @staticmethod
     def places(hashes: np.ndarray, size: int) -> list[np.ndarray]:
@@ -105,7 +105,7 @@ class BitSlicedFilter:
 
     def counts(self, masks: np.ndarray) -> np.ndarray:
         """Hits of each language, by popcounts over the bytes of the masks."""
-        raw = masks.view(np.uint8).reshape(len(masks), masks.dtype.itemsize)
+        raw = np.ascontiguousarray(masks).view(np.uint8).reshape(len(masks), self.slots[:1].nbytes)
         bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
         per_byte = [np.bincount(raw[:, k], minlength=256) @ bits for k in range(raw.shape[1])]
         return np.concatenate(per_byte)[: len(self.languages)]
@@ -123,9 +123,9 @@ class BitSlicedFilter:
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = SLOTS) -> BitSlicedFilter:
     """Filters from rows (doc_id, text, lang) with a language. The driver gets
-    at most MAX_GRAMS n-grams of each of at most LANGUAGES_MAX languages."""
+    at most MAX_GRAMS n-grams of each language."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    totals = sorted(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES_MAX).collect())
+    totals = sorted(rows.groupBy("lang").count().collect())
     if not totals:
         return BitSlicedFilter.build({}, size)
     each, span = max(1, sample_docs // len(totals)), 1 << 30
@@ -148,9 +148,10 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = SLOTS) ->
     least = F.coalesce(*(F.when(F.col("place") == place[lang], F.lit(MIN_SHARE * min(each, n))) for lang, n in totals))
     kept = counted.where(F.col("n") >= least)
     grams = {}
-    rows_of = kept.orderBy(F.desc("n"), "gram", "place").limit(MAX_GRAMS * len(totals)).toPandas()
+    rank = F.row_number().over(Window.partitionBy("place").orderBy(F.desc("n"), "gram"))
+    rows_of = kept.withColumn("rank", rank).where(F.col("rank") <= MAX_GRAMS).select("place", "gram").toPandas()
     for lang, i in place.items():
-        grams[lang] = rows_of.gram[rows_of.place == i].to_numpy(np.int64)[:MAX_GRAMS].view(np.uint64)
+        grams[lang] = rows_of.gram[rows_of.place == i].to_numpy(np.int64).view(np.uint64)
     return BitSlicedFilter.build(grams, size)
 
 
