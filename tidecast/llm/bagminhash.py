@@ -30,8 +30,8 @@ id repeats; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import _Words
 from .common import Scratch
 from .graph import components
 
@@ -49,7 +48,10 @@ BANDS, ROWS = 30, 8
 REGISTERS = BANDS * ROWS
 STAR_ROUNDS = 2
 BROADCAST_IDS = 1_000_000
-_BLOCK_WORDS = 600_000
+SIZE_STEP = 1.05
+_BLOCK_WORDS, _BLOCK_TEXTS = 100_000, 2_000
+_LONG_WORD = 256
+_STEP = 8_192
 _U = np.uint64
 _GOLD, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
@@ -67,17 +69,38 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> _Words:
-    return _Words(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")), 300_000)
+# A word is the sum of a number for each byte times an odd base to the byte's place.
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _GOLD)
+_BYTE[32] = 0
+_POWER = np.cumprod(np.concatenate(([1], np.full(4 * _LONG_WORD, 0x2545F4914F6CDD1B, np.uint64))).astype(np.uint64))
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words without white space, some thousand words at a time."""
+    out = np.empty(len(words), np.uint64)
+    for at in range(0, len(words), _STEP):
+        part = words[at : at + _STEP]
+        long = [i for i, w in enumerate(part) if len(w) > _LONG_WORD] if max(map(len, part)) > _LONG_WORD else []
+        digests = [xxhash.xxh3_64_intdigest(part[i].encode("utf-8", "surrogatepass")) for i in long]
+        for i in long:
+            part[i] = "-"
+        raw = np.frombuffer(" ".join(part).encode("utf-8", "surrogatepass"), np.uint8)
+        starts = np.concatenate(([0], np.flatnonzero(raw == 32) + 1))
+        place = np.arange(len(raw)) - np.repeat(starts, np.diff(starts, append=len(raw)))
+        out[at : at + len(part)] = np.add.reduceat(_BYTE[raw] * _POWER[place], starts)
+        out[[at + i for i in long]] = np.array(digests, np.uint64)
+    return out
 
 
 def shingle_counts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes and how often each occurs."""
-    n = len(words)
+    return _counted(word_hashes(words))
+
+
+def _counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    ids = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, n)
     k = min(n, SHINGLE)
     mixed = np.zeros(n - k + 1, np.uint64)
     for i in range(k):
@@ -85,6 +108,12 @@ def shingle_counts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(_mix(mixed + _U(k)), return_counts=True)
 
 
+def _bags_of(texts: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    ids = word_hashes([w for words in texts for w in words])
+    ends = np.cumsum([len(words) for words in texts])
+    return [_counted(ids[end - len(words) : end]) for words, end in zip(texts, ends)]
+
+
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     total = int(a[1].sum() + b[1].sum())
     if not total:
@@ -94,53 +123,58 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return low / (total - low)
 
 
+def _points(row, element, weight, horizon, registers):
+    """(slot, time, point) of every point of some shingles up to their text's horizon."""
+    # one process for each shingle and dyadic part: key, size of the part, cells owned
+    rows, keys, parts, owned = [row], [element], [np.ones(len(row))], [np.ones(len(row))]
+    level, low = 1, 1
+    while (more := weight > low).any():
+        rows.append(row[more])
+        keys.append(_mix(element[more] + _U(level)))
+        parts.append(np.full(more.sum(), float(low)))
+        owned.append(np.minimum(weight[more] - low, low).astype(np.float64))
+        level, low = level + 1, low * 2
+    row, key, part, own = (x[0] if level == 1 else np.concatenate(x) for x in (rows, keys, parts, owned))
+    thinned = level > 1
+    # time runs in units of 1 / (registers * part) here, so gaps are unit exponentials
+    limit = horizon[row] * part * registers
+    time, draw, slots, times, points = np.zeros(len(row)), 0, [], [], []
+    while len(row):
+        steps = 1 if draw < 3 else 8 if draw < 11 else 64
+        numbers = np.arange(draw + 1, draw + 1 + steps, dtype=np.uint64) * _GOLD
+        point = _mix(key[:, None] + numbers)
+        reached = time[:, None] - np.log(_uniform(point)).cumsum(1)
+        at, step = np.nonzero(reached <= limit[:, None])
+        hit, second = point[at, step], _mix(point[at, step] ^ _M2)
+        if thinned:
+            mine = _uniform(_mix(second ^ _M1)) * part[at] < own[at]
+            at, hit, second, step = at[mine], hit[mine], second[mine], step[mine]
+        slots.append(row[at] * registers + (second % _U(registers)).astype(np.int64))
+        times.append(reached[at, step] / part[at])
+        points.append(hit)
+        time, draw = reached[:, -1], draw + steps
+        on = time <= limit
+        row, key, part, own, time, limit = (x[on] for x in (row, key, part, own, time, limit))
+    return np.concatenate(slots), np.concatenate(times), np.concatenate(points)
+
+
 def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int = REGISTERS) -> np.ndarray:
-    """One row of register values for each multiset; empty ones get zeros."""
+    """One row of register values for each multiset; empty ones get zeros. Points
+    are made for _STEP shingles at a time, whatever the length of a text."""
     out = np.zeros((len(bags), registers), np.uint64)
     todo = [i for i, (h, _) in enumerate(bags) if len(h)]
     stretch = np.full(len(bags), np.log(registers) + 3.0)
     while todo:
-        sizes = np.array([len(bags[i][0]) for i in todo])
-        row = np.repeat(np.arange(len(todo)), sizes)
+        row = np.repeat(np.arange(len(todo)), [len(bags[i][0]) for i in todo])
         element, weight = np.concatenate([bags[i][0] for i in todo]), np.concatenate([bags[i][1] for i in todo])
-        total = np.array([bags[i][1].sum() for i in todo], np.float64)
-        horizon = stretch[todo] / total
-        # one process for each element and dyadic part: key, size of the part, cells owned
-        rows, keys, parts, owned = [row], [element], [np.ones(len(row))], [np.ones(len(row))]
-        level, low = 1, 1
-        while (more := weight > low).any():
-            rows.append(row[more])
-            keys.append(_mix(element[more] + _U(level)))
-            parts.append(np.full(more.sum(), float(low)))
-            owned.append(np.minimum(weight[more] - low, low).astype(np.float64))
-            level, low = level + 1, low * 2
-        row, key, part, own = (x[0] if level == 1 else np.concatenate(x) for x in (rows, keys, parts, owned))
-        thinned = level > 1
-        # time runs in units of 1 / (registers * part) here, so gaps are unit exponentials
-        limit = horizon[row] * part * registers
-        time, draw, slots, times, points = np.zeros(len(row)), 0, [], [], []
-        while len(row):
-            steps = 1 if draw < 3 else 8 if draw < 11 else 64
-            numbers = np.arange(draw + 1, draw + 1 + steps, dtype=np.uint64) * _GOLD
-            point = _mix(key[:, None] + numbers)
-            reached = time[:, None] - np.log(_uniform(point)).cumsum(1)
-            at, step = np.nonzero(reached <= limit[:, None])
-            hit, second = point[at, step], _mix(point[at, step] ^ _M2)
-            mine = slice(None)
-            if thinned:
-                mine = _uniform(_mix(second ^ _M1)) * part[at] < own[at]
-                at, hit, second, step = at[mine], hit[mine], second[mine], step[mine]
-            slots.append(row[at] * registers + (second % _U(registers)).astype(np.int64))
-            times.append(reached[at, step] / part[at])
-            points.append(hit)
-            time, draw = reached[:, -1], draw + steps
-            on = time <= limit
-            row, key, part, own, time, limit = (x[on] for x in (row, key, part, own, time, limit))
-        slot, when, point = np.concatenate(slots), np.concatenate(times), np.concatenate(points)
+        horizon = stretch[todo] / np.array([bags[i][1].sum() for i in todo], np.float64)
         first_time, first_point = np.full(len(todo) * registers, np.inf), np.zeros(len(todo) * registers, np.uint64)
-        np.minimum.at(first_time, slot, when)
-        won = when == first_time[slot]
-        first_point[slot[won]] = point[won]
+        for at in range(0, len(row), _STEP):
+            some = slice(at, at + _STEP)
+            slot, when, point = _points(row[some], element[some], weight[some], horizon, registers)
+            np.minimum.at(first_time, slot, when)
+            won = when == first_time[slot]
+            first_point[slot[won]] = point[won]
         full = np.isfinite(first_time).reshape(len(todo), registers).all(1)
         for at in np.flatnonzero(full):
             out[todo[at]] = first_point[at * registers : (at + 1) * registers]
@@ -159,13 +193,13 @@ def band_hashes(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[list[str]]]]:
-    """(first row, words of each text) with about _BLOCK_WORDS words together."""
+    """(first row, words of each text) with about _BLOCK_WORDS words or _BLOCK_TEXTS texts together."""
     start, held, n = 0, [], 0
     for at, text in enumerate(batch.column(1)):
         words = (text.as_py() or "").split()
         held.append(words)
         n += len(words)
-        if n >= _BLOCK_WORDS:
+        if n >= _BLOCK_WORDS or len(held) >= _BLOCK_TEXTS:
             yield start, held
             start, held, n = at + 1, [], 0
     if held:
@@ -184,7 +218,7 @@ def sign_documents(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for start, texts in _blocks(batch):
                 prints = np.array([np.frombuffer(hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest(), "<i8") for w in texts])
-                bags = [shingle_counts(w) for w in texts]
+                bags = _bags_of(texts)
                 bands = band_hashes(signatures(bags))
                 listed = pa.array([b if len(bag[0]) else [] for b, bag in zip(bands, bags)], pa.list_(pa.int64()))
                 own = [batch.column(k).slice(start, len(texts)) for k in (0, 2)]
@@ -199,7 +233,7 @@ def _bags(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in _blocks(batch):
-                bags = [h.tobytes() + c.astype(np.int32).tobytes() for h, c in map(shingle_counts, texts)]
+                bags = [h.tobytes() + c.astype(np.int32).tobytes() for h, c in _bags_of(texts)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), pa.array(bags, pa.binary())], ["node", "bag"])
 
     return docs.select("node", "text").mapInArrow(run, "node long, bag binary")
