@@ -93,6 +93,31 @@ def test_signatures_are_unbiased():
     assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.04
 
 
+def test_prefix_pairs_lose_no_link(spark):
+    """Multisets of many sizes around a common text: every pair over the threshold in
+    different components is found, also where most texts are of one component."""
+    rng = np.random.default_rng(11)
+    base = rng.integers(1, 2**62, 120).astype(np.uint64)
+    bags = []
+    for i in range(150):
+        own = np.concatenate([rng.choice(base, int(rng.integers(60, 121)), replace=False), rng.integers(1, 2**62, int(rng.integers(0, 25))).astype(np.uint64)])
+        bags.append(np.unique(np.concatenate([own, own[: i % 7]]), return_counts=True))
+    label = [0 if i % 3 else i for i in range(150)]
+    nodes = spark.createDataFrame([(i, c) for i, c in enumerate(label)], "node long, component long")
+    packed = spark.createDataFrame([(i, bytearray(h.tobytes() + c.astype(np.int32).tobytes())) for i, (h, c) in enumerate(bags)], "node long, bag binary")
+    got = {tuple(r) for r in bagminhash._prefix_pairs(nodes, packed, 0.8, Scratch(spark, "t")).collect()}
+    want = {(i, j) for i in range(150) for j in range(i) if label[i] != label[j] and bagminhash.weighted_jaccard(bags[i], bags[j]) >= 0.8}
+    assert want and want <= got and all(label[a] != label[b] for a, b in got)
+    assert len(got) < 0.1 * sum(label[i] != label[j] for i in range(150) for j in range(i))
+
+
+def test_word_hashes():
+    words = ["a", "b", "ab", "ba", "\u00e9", "x" * 256, "x" * 257, "y" * 100_000, "\ud800", "-"] * 2_000
+    got = bagminhash.word_hashes(list(words))
+    assert (got[:10] == got[-10:]).all() and len(set(got.tolist())) == 10
+    assert len(bagminhash.word_hashes([])) == 0
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (260, 2))] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]

@@ -15,9 +15,9 @@ class from the start. In each bucket every class is compared with one root; the
 exact weighted Jaccard of the multisets decides, and verified links are joined
 into components. Buckets that still hold several components get new roots by another
 order, for STAR_ROUNDS - 1 rounds; then all classes of such buckets go through an
-exact prefix filter, and every pair of different components that passes it is
-compared. So no link between candidates goes missing, and a group of many near
-copies costs about one comparison for each copy, not each pair.
+exact filter on rare shingles, their places and sizes, and every pair of different
+components that passes it is compared. So no link between candidates goes missing, and
+a group of many near copies costs about one comparison for each copy, not each pair.
 
 Defined results: null texts count as empty; texts without words are copies of
 each other; repeated rows are returned as often as they come, under one class;
@@ -267,10 +267,13 @@ def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 def _prefix_pairs(nodes: DataFrame, bags: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """Every pair (a, b) of nodes in different components that may reach the threshold,
-    by an exact prefix filter: with shingles in order from rare to frequent, two
-    similar multisets share one among the first of each, up to the place where
-    what follows weighs less than the threshold's share. A passage that many
-    texts share is frequent and so pairs none of them."""
+    by an exact filter on prefixes, positions and sizes. With shingles in order from rare
+    to frequent, what two multisets share lies at and behind the first shingle that both
+    hold, so at that place neither may have less left than the overlap that the
+    threshold asks of their sizes. A shingle at some place of one text therefore meets
+    only partners up to a size that falls with the place; sizes are classes in steps of
+    SIZE_STEP, and a list of texts is made for each shingle and class, for the smaller
+    text of a pair. The component most frequent in a list never meets itself there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,10 +286,25 @@ def _prefix_pairs(nodes: DataFrame, bags: DataFrame, threshold: float, scratch:
     seen = rows.groupBy("shingle").agg(F.count("*").alias("seen")).where("seen > 1")
     order = Window.partitionBy("node").orderBy(F.coalesce("seen", F.lit(1)), "shingle").rowsBetween(Window.unboundedPreceding, -1)
     ranked = rows.join(seen, "shingle", "left").withColumn("before", F.coalesce(F.sum("times").over(order), F.lit(0)))
-    first = scratch.save(ranked.where(F.col("seen").isNotNull() & (F.col("before") <= (1 - threshold) * F.col("total") + 1e-9)).select("node", "component", "shingle", "total"))
-    other = first.select("shingle", F.col("node").alias("b"), F.col("component").alias("with"), F.col("total").alias("weight"))
-    near = (F.col("weight") >= threshold * F.col("total") - 1e-9) & (F.col("total") >= threshold * F.col("weight") - 1e-9)
-    return first.join(other, "shingle").where((F.col("node") > F.col("b")) & (F.col("component") != F.col("with")) & near).select(F.col("node").alias("a"), "b")
+    most = F.col("total") / threshold - F.col("before") * ((1 + threshold) / threshold) + 1e-9  # size of a partner
+    least = F.col("total") * threshold - 1e-9
+    prefix = ranked.where(F.col("seen").isNotNull()).withColumns({"most": most, "least": least, "rest": F.col("total") - F.col("before")})
+    prefix = scratch.save(prefix.where("most >= least").select("node", "component", "shingle", "total", "rest", "most", "least"))
+
+    size = lambda x: F.floor(F.log(x) / F.lit(math.log(SIZE_STEP))).cast("int")
+    key = ["shingle", "size"]
+    smaller = prefix.where("most >= total").select("node", "component", "shingle", "total", "rest", size(F.col("total").cast("double")).alias("size"))
+    lists = smaller.groupBy(*key, "component").agg(F.count("*").alias("n")).groupBy(*key).agg(F.max(F.struct("n", "component")).alias("main"))
+    lists = scratch.save(lists.select(*key, F.col("main.component").alias("main")))
+    # side 0: the others of a list meet all; side 1: the main component meets the others
+    smaller = smaller.join(lists, key).withColumn("side", (F.col("component") == F.col("main")).cast("int"))
+    sizes = F.explode(F.sequence(size(F.col("least")), size(F.least("most", F.col("total").cast("double"))))).alias("size")
+    sides = F.explode(F.when(F.col("component") == F.col("main"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("side")
+    larger = prefix.select("node", "component", "shingle", "total", "rest", sizes).join(lists, key).select(*key, F.col("node").alias("b"), F.col("component").alias("with"), F.col("total").alias("weight"), F.col("rest").alias("left"), sides)
+    first = (F.col("total") < F.col("weight")) | ((F.col("total") == F.col("weight")) & (F.col("node") < F.col("b")))
+    enough = F.least("rest", "left") >= (F.col("total") + F.col("weight")) * (threshold / (1 + threshold)) - 1e-9
+    met = smaller.join(larger, [*key, "side"]).where(first & (F.col("component") != F.col("with")) & enough)
+    return met.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
 
 
 def _heads(docs: DataFrame, threshold: float) -> DataFrame:
