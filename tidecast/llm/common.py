@@ -66,6 +66,11 @@ class Scratch:
             drop_path(self.spark, path)
 
 
+def carried(extra: tuple[str, ...], *own: str) -> tuple[str, ...]:
+    """The extra columns without those that have the name of a result's own column."""
+    return tuple(c for c in extra if c.lower() not in {o.lower() for o in own})
+
+
 def crc32_of_id(column: str = "doc_id"):
     """crc32 of the decimal text of an id, as the fold rules use it."""
     return F.crc32(F.col(column).cast("string"))

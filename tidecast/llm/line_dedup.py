@@ -19,9 +19,11 @@ its templates recurs and it is not the first there; the first line of all that h
 together by templates is first in each of its own and stays. A template with less
 than SHARE of a leaf that it shares with others is found by the first rule only.
 
-Only hashes of lines are shuffled to find leaves that recur; token rows are made
-for distinct lines of those leaves alone, and counts are aggregated before each
-exchange, so a line that stands in a third of all documents costs a row a task.
+Texts are split once, into a table of lines in the shared folder. Only hashes of lines
+are shuffled to find leaves that recur; token rows are made for distinct lines of those
+leaves alone. Counts are aggregated before each exchange, and rows that take a verdict
+back from their template, leaf or token go to SALTS tasks for each of these, so a line
+that stands in a third of all documents loads no single task.
 
 Defined results: null texts count as empty; empty lines always stay, and so do
 lines of fewer than MIN_TOKENS tokens unless whole; a document may lose all its lines and stays
@@ -35,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, carried
 
 LEADING = 3
 MIN_TOKENS = 3
@@ -46,85 +48,102 @@ SHARE = 0.2
 LONG, LONG_DOCS = 50, 2
 SHORT_DOCS = 10
 BROADCAST_LEAVES = 500_000
+SALTS = 16
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, place, n, leaf, masked of every line that may be a template."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n", -1)).alias("place", "line"))
-    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[^ ]*[0-9][^ ]*", WILD)).otherwise(F.col("line"))
-    rows = rows.select("doc_id", "text_hash", "place", masked.alias("masked"))
-    n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    rows = rows.select("*", n.alias("n")).where(F.col("n") >= MIN_TOKENS)
-    return rows.select("doc_id", "text_hash", "place", "n", F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf"), F.xxhash64("masked").alias("line_key"), "masked")
+def _text() -> Column:
+    return F.coalesce("text", F.lit(""))
 
 
-def _exact(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, place, template, least of long and of short lines as they stand."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n", -1)).alias("place", "line")).where(F.trim("line") != "")
+def _lines(docs: DataFrame, whole: bool) -> DataFrame:
+    """doc_id, text_hash, place of every line that may be a template; n, leaf, line_key and
+    masked of one that goes into the tree; exact and least of one that counts as it stands."""
+    text = _text()
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n", -1)).alias("place", "line"))
     n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    least = F.when(n >= LONG, LONG_DOCS).when(n < MIN_TOKENS, SHORT_DOCS)
-    return rows.select("doc_id", "text_hash", "place", F.xxhash64(F.lit("exact"), "line").alias("template"), least.alias("least")).where(F.col("least").isNotNull())
-
-
-def _templates(lines: DataFrame, min_docs: int, constant: float, share: float = 0.0) -> DataFrame:
-    """(leaf, line_key, template) of the distinct lines of leaves with several; tokens
-    of less than a share of the leaf's lines are variable."""
+    rows = rows.select("*", n.alias("n"), F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[^ ]*[0-9][^ ]*", WILD)).otherwise(F.col("line")).alias("masked"))
+    least = F.when(F.trim("line") == "", None).when(F.col("n") >= LONG, LONG_DOCS).when(F.col("n") < MIN_TOKENS, SHORT_DOCS) if whole else F.lit(None).cast("int")
+    rows = rows.select("*", least.alias("least")).where((F.col("n") >= MIN_TOKENS) | F.col("least").isNotNull())
+    tree = lambda c: F.when(F.col("n") >= MIN_TOKENS, c)
+    return rows.select(
+        "doc_id", "text_hash", "place", "n", tree(F.xxhash64("n", F.substring_index("masked", " ", LEADING))).alias("leaf"), tree(F.xxhash64("masked")).alias("line_key"),
+        F.when(F.col("least").isNotNull(), F.xxhash64(F.lit("exact"), "line")).alias("exact"), "least", tree(F.col("masked")).alias("masked"),
+    )
+
+
+def _join_spread(many: DataFrame, once: DataFrame, key: list[str], by: list[str], how: str = "inner") -> DataFrame:
+    """A join with a table that holds each key once; a key's many rows go to SALTS tasks."""
+    spread = once.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return many.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")).join(spread, [*key, "salt"], how).drop("salt")
+
+
+def _templates(lines: DataFrame, min_docs: int, constant: float, share: float | None) -> DataFrame:
+    """(leaf, line_key, template, wide) of the distinct lines of leaves with several; wide
+    is the template in which tokens of less than a share of the leaf's lines are variable,
+    too, null where there is none."""
     variants = lines.groupBy("leaf", "line_key").agg(F.count("*").alias("times"), F.first("masked").alias("masked"), F.first("n").alias("n"))
     tokens = variants.select("leaf", "line_key", "n", "times", F.posexplode(F.split("masked", " ", -1)).alias("at", "token"))
-    support = tokens.groupBy("leaf", "at", "token").agg(F.sum("times").alias("support")).where(F.col("support") >= min_docs)
-    if share:
-        sizes = variants.groupBy("leaf").agg(F.sum("times").alias("size"))
-        support = support.join(sizes, "leaf").where(F.col("support") >= share * F.col("size")).drop("size")
-    marked = tokens.join(support, ["leaf", "at", "token"], "left").select("leaf", "line_key", "n", "at", F.when(F.col("support").isNotNull() & (F.col("token") != WILD), F.col("token")).alias("token"))
-    merged = marked.groupBy("leaf", "line_key", "n").agg(F.count("token").alias("same"), F.sort_array(F.collect_list(F.struct("at", F.coalesce("token", F.lit(WILD)).alias("token")))).alias("parts"))
-    pattern = F.xxhash64("leaf", F.concat_ws(" ", F.transform("parts", lambda x: x["token"])))
-    return merged.select("leaf", "line_key", F.when(F.col("same") >= F.ceil(F.col("n") * F.lit(constant)), pattern).otherwise(F.col("line_key")).alias("template"))
+    support = tokens.groupBy("leaf", "at", "token").agg(F.sum("times").alias("support")).where((F.col("support") >= min_docs) & (F.col("token") != WILD))
+    # every line has one token at the first place, so these sum to the leaf's lines
+    sizes = variants.groupBy("leaf").agg(F.sum("times").alias("size"))
+    support = support.join(sizes, "leaf").select("leaf", "at", "token", (F.col("support") >= F.lit(share or 0.0) * F.col("size")).alias("common"))
+    marked = _join_spread(tokens.select("leaf", "line_key", "n", "at", "token"), support, ["leaf", "at", "token"], ["line_key"], "left")
+    one = F.struct("at", F.when(F.col("common").isNotNull(), F.col("token")).alias("narrow"), F.when(F.col("common"), F.col("token")).alias("wide"))
+    merged = marked.groupBy("leaf", "line_key", "n").agg(F.count("common").alias("same"), F.count(F.when(F.col("common"), True)).alias("same_wide"), F.sort_array(F.collect_list(one)).alias("parts"))
+    enough = F.ceil(F.col("n") * F.lit(constant))
+    joined = lambda which: F.concat_ws(" ", F.transform("parts", lambda x: F.coalesce(x[which], F.lit(WILD))))
+    narrow = F.when(F.col("same") >= enough, F.xxhash64("leaf", joined("narrow"))).otherwise(F.col("line_key"))
+    wide = F.when(F.col("same_wide") >= enough, F.xxhash64(F.lit("wide"), "leaf", joined("wide"))) if share is not None else F.lit(None).cast("long")
+    return merged.select("leaf", "line_key", narrow.alias("template"), wide.alias("wide"))
 
 
 def dropped_lines(docs: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, constant: float = CONSTANT, whole: bool = False) -> DataFrame:
     """(doc_id, text_hash, places): the lines that each document loses."""
-    lines = _lines(docs)
-    leaves = lines.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("line_key").alias("low"), F.max("line_key").alias("high"))
+    lines = scratch.save(_lines(docs, whole))
+    leaves = lines.where("leaf is not null").groupBy("leaf").agg(F.count("*").alias("lines"), F.min("line_key").alias("low"), F.max("line_key").alias("high"))
     leaves = scratch.save(leaves.where(F.col("lines") >= min_docs).select("leaf", (F.col("low") != F.col("high")).alias("varied")))
-    few = leaves.count() <= BROADCAST_LEAVES
-    recurring = lines.join(F.broadcast(leaves) if few else leaves, "leaf")
-    recurring = scratch.save(recurring.withColumn("masked", F.when(F.col("varied"), F.col("masked"))))
-    templates = _templates(recurring.where("varied"), min_docs, constant)
-    named = recurring.drop("masked").join(templates, ["leaf", "line_key"], "left")
-    named = named.select("doc_id", "text_hash", "place", F.coalesce("template", "line_key").alias("template"), F.lit(min_docs).alias("least"))
+    small = leaves.count() <= BROADCAST_LEAVES
+    of_leaves = lambda rows, which: rows.join(F.broadcast(which), "leaf") if small else _join_spread(rows, which, ["leaf"], ["line_key", "place"])
+    varied = of_leaves(lines.select("leaf", "line_key", "place", "n", "masked"), leaves.where("varied"))
+    templates = scratch.save(_templates(varied, min_docs, constant, SHARE if whole else None))
+    recurring = of_leaves(lines.select("doc_id", "text_hash", "place", "leaf", "line_key"), leaves)
+    named = _join_spread(recurring, templates, ["leaf", "line_key"], ["doc_id", "place"], "left")
+    # one row for each template that a line has
+    kinds = [F.struct(F.coalesce("template", "line_key").alias("template"), F.lit(min_docs).alias("least"))]
+    kinds += [F.struct(F.col("wide").alias("template"), F.lit(min_docs).alias("least"))] if whole else []
+    named = named.select("doc_id", "text_hash", "place", F.explode(F.array(*kinds)).alias("kind")).select("doc_id", "text_hash", "place", "kind.*").where("template is not null")
     if whole:
-        wide = _templates(recurring.where("varied"), min_docs, constant, SHARE)
-        wide = recurring.join(wide, ["leaf", "line_key"]).where(F.col("template") != F.col("line_key"))
-        named = named.unionByName(wide.select("doc_id", "text_hash", "place", F.xxhash64(F.lit("wide"), "template").alias("template"), F.lit(min_docs).alias("least")))
-        named = named.unionByName(_exact(docs))
+        named = named.unionByName(lines.where("exact is not null").select("doc_id", "text_hash", "place", F.col("exact").alias("template"), "least"))
     named = scratch.save(named)
     firsts = named.groupBy("template", "doc_id").agg(F.min(F.struct("text_hash", "place")).alias("first"), F.min("least").alias("least"))
     firsts = firsts.groupBy("template").agg(F.count("*").alias("docs"), F.min("least").alias("least"), F.min(F.struct("doc_id", "first")).alias("first"))
     firsts = firsts.where(F.col("docs") >= F.col("least")).select("template", F.col("first.doc_id").alias("first_doc"), F.col("first.first.text_hash").alias("first_hash"), F.col("first.first.place").alias("first_place"))
     is_first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_hash")) & (F.col("place") == F.col("first_place"))
-    return named.join(firsts, "template").where(~is_first).groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places"))
+    lost = _join_spread(named.select("doc_id", "text_hash", "place", "template"), firsts, ["template"], ["doc_id", "text_hash", "place"]).where(~is_first)
+    return lost.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places"))
 
 
 def dedup_lines(docs: DataFrame, extra: tuple[str, ...] = (), min_docs: int = MIN_DOCS, constant: float = CONSTANT, whole: bool = False) -> DataFrame:
-    """doc_id, text without dropped lines, n_lines, n_dropped and the extra columns."""
+    """doc_id, text without dropped lines, n_lines, n_dropped and the extra columns; an
+    extra column with the name of one of these gives way to it."""
     scratch = Scratch(docs.sparkSession, "lines")
     lost = scratch.save(dropped_lines(docs, scratch, min_docs, constant, whole))
     # one plan at every size: a broadcast where little is lost would make the growth
     # of shuffled bytes jump where it no longer fits
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"), *extra)
+    others = carried(extra, "doc_id", "text", "n_lines", "n_dropped")
+    rows = docs.select("doc_id", _text().alias("text"), F.xxhash64(_text()).alias("text_hash"), F.struct(F.lit(0).alias("_"), *others).alias("others"))
     same = [rows["doc_id"].eqNullSafe(lost["doc_id"]), rows["text_hash"] == lost["text_hash"]]
-    found = rows.join(lost.hint("merge"), same, "left").select(rows["doc_id"], "text", "places", *extra)
+    found = rows.join(lost.hint("merge"), same, "left").select(rows["doc_id"], "text", "places", "others")
     parts: Column = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(parts, lambda line, at: ~F.array_contains("places", at)), "\n")
+    # a set difference and look-ups by place: time in proportion to the lines of a text
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "places")
+    kept = F.transform(F.array(parts), lambda p: F.array_join(F.transform(left, lambda at: F.get(p, at)), "\n"))[0]
     return found.select(
         "doc_id",
         F.when(F.col("places").isNull(), F.col("text")).otherwise(kept).alias("text"),
         F.size(parts).cast("long").alias("n_lines"),
         F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long").alias("n_dropped"),
-        *extra,
+        *(F.col("others")[c].alias(c) for c in others),
     )
 
 
