@@ -13,8 +13,12 @@ as evenly from both labels as these allow; votes are reweighted to the labels'
 shares in all labelled rows. The broadcast therefore holds at most
 TRAIN_DOCS x DIMENSIONS floats and the projection. Only the text is an input.
 Null and empty texts are scored as a text without terms: the share of label 1.
-With no labels every score is 0.5. Ties between neighbours go to the earlier
-one in the order of the sample (by hash, then id).
+With no labels every score is 0.5. Similarities count to six places; ties between
+neighbours go to the earlier one in the order of the sample (by hash, then id).
+Rows that repeat are scored as often as they come, a label that repeats counts
+once (the higher one). Very long texts cost time in proportion to their length.
+An empty table gives an empty result; columns other than doc_id and text are not
+read but where asked for.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import carried
+
 TRAIN_DOCS = 6_000
 DIMENSIONS = 48
 NEIGHBOURS = 25
@@ -79,6 +85,20 @@ def terms(text: str | None) -> np.ndarray:
     return out
 
 
+def pack_terms(row: np.ndarray) -> bytes:
+    """Places (16 bit) and values (32 bit) of the terms that a text has."""
+    at = np.flatnonzero(row)
+    return at.astype("<u2").tobytes() + row[at].astype("<f4").tobytes()
+
+
+def unpack_terms(rows: list[bytes]) -> np.ndarray:
+    out = np.zeros((len(rows), TERMS), np.float32)
+    for i, raw in enumerate(rows):
+        n = len(raw) // 6
+        out[i, np.frombuffer(raw, "<u2", n)] = np.frombuffer(raw, "<f4", n, 2 * n)
+    return out
+
+
 # How far each measure counts beside the trigrams, whose squares sum to 1.
 _WEIGHTS = (1.2, 0.8, 0.5, 0.8, 0.3, 0.3, 0.2)
 
@@ -93,15 +113,21 @@ class LatentVoter:
     prior: float
 
     @classmethod
-    def fit(cls, counts: np.ndarray, labels: np.ndarray, prior: float, dimensions: int = DIMENSIONS) -> LatentVoter:
-        seen = (counts > 0).sum(0)
-        weights = (np.log((1 + len(counts)) / (1 + seen)) + 0.3).astype(np.float32)
-        x = counts * weights
-        _, axes = np.linalg.eigh((x.T @ x).astype(np.float64)) if len(x) else (0, np.zeros((counts.shape[1], 1)))
+    def fit(cls, packed: list[bytes], labels: np.ndarray, prior: float, dimensions: int = DIMENSIONS) -> LatentVoter:
+        """From the packed terms of labelled texts, which are opened BLOCK rows at a time."""
+        blocks = lambda: (unpack_terms(packed[at : at + BLOCK]) for at in range(0, len(packed), BLOCK))
+        seen = sum(((b > 0).sum(0) for b in blocks()), np.zeros(TERMS))
+        weights = (np.log((1 + len(packed)) / (1 + seen)) + 0.3).astype(np.float32)
+        moments = np.zeros((TERMS, TERMS))
+        for b in blocks():
+            b *= weights
+            moments += b.T @ b
+        axes = np.linalg.eigh(moments)[1] if packed else np.zeros((TERMS, 1))
         axes = np.ascontiguousarray(axes[:, ::-1][:, :dimensions].astype(np.float32))
+        vectors = np.concatenate([np.zeros((0, axes.shape[1]), np.float32), *(cls._unit((b * weights) @ axes) for b in blocks())])
         share = labels.mean() if len(labels) else 0.5
         balance = np.where(labels == 1, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9)).astype(np.float32)
-        return cls(weights, axes, cls._unit(x @ axes), labels.astype(np.float32), balance, prior)
+        return cls(weights, axes, vectors, labels.astype(np.float32), balance, prior)
 
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
@@ -112,11 +138,13 @@ class LatentVoter:
         if not len(self.vectors):
             return out
         own = self._unit((counts * self.weights) @ self.axes)
-        alike = own @ self.vectors.T
+        alike = np.round(own @ self.vectors.T, 6)  # so that equal vectors tie
         k = min(NEIGHBOURS, alike.shape[1])
+        least = np.partition(alike, -k, axis=1)[:, -k]
         for i in np.flatnonzero(counts.any(1)):
             row = alike[i]
-            near = np.argpartition(-row, k - 1)[:k] if k < len(row) else np.arange(len(row))
+            closer, equal = np.flatnonzero(row > least[i]), np.flatnonzero(row == least[i])
+            near = np.concatenate([closer, equal[: k - len(closer)]])
             weight = np.exp(SHARPNESS * (row[near] - row[near].max())) * self.balance[near]
             out[i] = float((weight * self.votes[near]).sum() / weight.sum())
         return np.clip(out, 0.0, 1.0)
@@ -129,7 +157,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> L
     sizes = {q: n for q, n in known.groupBy("quality").count().collect()}
     total = sum(sizes.values())
     if not total:
-        return LatentVoter.fit(np.zeros((0, TERMS), np.float32), np.zeros(0), 0.5)
+        return LatentVoter.fit([], np.zeros(0), 0.5)
     half, span = train_docs // 2, 1 << 30
     want = {q: min(sizes.get(q, 0), max(half, train_docs - sizes.get(1 - q, 0))) for q in (0, 1)}
     lot = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(span))
@@ -138,18 +166,19 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> L
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [terms(x.as_py()).tobytes() for x in batch.column(2)]
+            rows = [pack_terms(terms(x.as_py())) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["doc_id", "quality", "terms"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     sampled = docs.select("doc_id", "text").where(F.col("text") != "").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
     found = sampled.mapInArrow(run, f"doc_id {kind}, quality int, terms binary").orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").limit(train_docs).collect()
-    counts = np.array([np.frombuffer(r.terms, np.float32) for r in found], np.float32).reshape(len(found), TERMS)
-    return LatentVoter.fit(counts, np.array([r.quality for r in found]), sizes.get(1, 0) / total)
+    return LatentVoter.fit([bytes(r.terms) for r in found], np.array([r.quality for r in found]), sizes.get(1, 0) / total)
 
 
 def score(docs: DataFrame, model: LatentVoter, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, score of every row's whole text, and the extra columns as they are."""
+    """doc_id, score of every row's whole text, and the extra columns as they are; an
+    extra column named like one of the two gives way to it."""
+    extra = carried(extra, "doc_id", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     others = tuple(c for c in extra if c != "text")
 
