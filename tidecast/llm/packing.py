@@ -12,6 +12,7 @@ capacities counts open windows and finds that capacity in one descent.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -94,21 +95,33 @@ def _tokenizer(path: str):
     return tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special), [*special]
 
 
+# tiktoken's pattern engine recurses on runs of white space and overflows on very long ones.
+_LONG_BLANK = re.compile(r"\s{20000}")
+
+
+@lru_cache(maxsize=4)
+def _plain_tokenizer(path: str):
+    from .bpe import RankArrayBPE
+
+    return RankArrayBPE(path, 10_000)
+
+
 def token_ids(text: str, path: str) -> np.ndarray:
-    coder, special = _tokenizer(path)
-    if any(s in text for s in special):
-        ids = coder.encode(text, allowed_special="all")
+    if len(text) >= 20_000 and _LONG_BLANK.search(text):
+        ids = _plain_tokenizer(path).encode(text)
     else:
-        ids = coder.encode_ordinary(text)
+        coder, special = _tokenizer(path)
+        ids = coder.encode(text, allowed_special="all") if any(s in text for s in special) else coder.encode_ordinary(text)
     return np.fromiter(ids, "<u4", len(ids))
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = END_ID, carry_ids: bool = False) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, and
-    with carry_ids the packed ids as binary. Null texts count as empty and give
-    the end id alone; a repeated row is a document of its own."""
+    with carry_ids the packed ids as binary; lot numbers a task's pieces. Null texts
+    count as empty and give the end id alone; a repeated row is a document of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot = 0
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -117,21 +130,24 @@ def cut_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id
                     raw = ids[start : start + window].tobytes()
                     for column, value in zip(out, (doc, start, len(raw) // 4, zlib.crc32(raw), len(ids), raw if carry_ids else None)):
                         column.append(value)
+            lots = pa.array(range(lot, lot + len(out[0])), pa.int64())
+            lot += len(out[0])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], batch.schema.field(0).type), *(pa.array(x, pa.int64()) for x in out[1:5]), pa.array(out[5], pa.binary())],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"],
+                [pa.array(out[0], batch.schema.field(0).type), *(pa.array(x, pa.int64()) for x in out[1:5]), lots, pa.array(out[5], pa.binary())],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "lot", "ids"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
+    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, lot long, ids binary")
     return out if carry_ids else out.drop("ids")
 
 
 def pack_pieces(pieces: DataFrame, window: int = WINDOW, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Adds sequence_id, offset, fill (tokens of the sequence) and padded_length
     to pieces (doc_id, start, length, ...). padded_length is the window, or the
-    fill itself where that is a power of two. An empty table gives an empty one;
-    a piece longer than the window is an error."""
+    fill itself where that is a power of two. A column lot, where there is one, deals
+    pieces that are otherwise equal to different shards. An empty table gives an empty
+    one; a piece longer than the window is an error."""
     n = pieces.count()
     shards = max(1, math.ceil(n / shard_pieces))
     names = [f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields]
@@ -149,12 +165,13 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, shard_pieces: int = SHA
         part["padded_length"] = np.where(fill & (fill - 1) == 0, fill, window)
         return part
 
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards)))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", *(["lot"] if "lot" in pieces.columns else [])), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(run, ", ".join([*names, "sequence_id long", "offset long", "fill long", "padded_length long"]))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
     """Tokenise, cut and pack whole documents; the pieces are written to the
-    shared folder between the two steps, so tokens are made once."""
+    shared folder between the two steps, so tokens are made once. Columns other
+    than doc_id and text are not read."""
     scratch = Scratch(docs.sparkSession, "packing")
-    return pack_pieces(scratch.save(cut_documents(docs, vocabulary, window)), window)
+    return pack_pieces(scratch.save(cut_documents(docs, vocabulary, window)), window).drop("lot")
