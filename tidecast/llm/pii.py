@@ -15,11 +15,16 @@ closeness to each window's middle, and one Viterbi pass over each stretch of
 touching windows reconciles them into a single labelling. An added span must
 pass its kind's check and touch no base span.
 
-Null and empty texts have no spans; repeated rows give repeated results.
+Null and empty texts have no spans; repeated rows give repeated results; an empty
+table gives an empty result. A stretch is decoded PART characters at a time, so a very
+long text costs time in proportion to its length, and ten bytes a character beside it.
+Extra columns pass through where asked for; one with the name of a result's column
+gives way to it.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -31,6 +36,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import carried
+
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns. A run of digits is entered at its start only,
 # which changes no match and keeps long runs linear.
@@ -91,6 +98,7 @@ def spans_text(spans) -> str:
 # --- the network ---------------------------------------------------------
 
 WINDOW = 64
+PART = 256 * WINDOW
 HIDDEN = 16
 EMBED = 10
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
@@ -169,14 +177,25 @@ class CharTagger:
         return both @ self.w["out"] + self.w["out_b"]
 
     def viterbi(self, scores: np.ndarray) -> np.ndarray:
-        best, back = scores[0] + self.w["first"], np.zeros(scores.shape, np.int64)
-        for t in range(1, len(scores)):
-            paths = best[:, None] + self.w["crf"]
-            back[t] = paths.argmax(0)
-            best = paths.max(0) + scores[t]
-        tags = np.empty(len(scores), np.int64)
+        return self.decode([scores])
+
+    def decode(self, parts) -> np.ndarray:
+        """The best labelling of scores that come in parts; a byte for each label and place is kept."""
+        best, kept = None, []
+        for scores in parts:
+            back = np.zeros(scores.shape, np.int8)
+            for t in range(len(scores)):
+                if best is None:
+                    best = scores[t] + self.w["first"]
+                    continue
+                paths = best[:, None] + self.w["crf"]
+                back[t] = paths.argmax(0)
+                best = paths.max(0) + scores[t]
+            kept.append(back)
+        back = np.concatenate(kept)
+        tags = np.empty(len(back), np.int8)
         tags[-1] = best.argmax()
-        for t in range(len(scores) - 1, 0, -1):
+        for t in range(len(back) - 1, 0, -1):
             tags[t - 1] = back[t, tags[t]]
         return tags
 
@@ -367,34 +386,70 @@ def _blend(model: CharTagger, texts: list[str], areas: list[tuple[int, int, int]
     return [o / w for o, w in zip(out, weight)]
 
 
+def _parts(model: CharTagger, text: str, a: int, b: int) -> Iterator[np.ndarray]:
+    """The emissions of a long stretch, PART characters at a time; each part is blended
+    from all windows that touch it, so they are those of the whole stretch."""
+    half = WINDOW // 2
+    for at in range(a, b, PART):
+        low, high = max(a, at - half), min(b, at + PART + half)
+        yield _blend(model, [text], [(0, low, high)])[0][at - low : min(b, at + PART) - low]
+
+
+def _labels(model: CharTagger, texts: list[str], areas: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(text number, start, labels) of each area, short ones 512 at a time."""
+    held: list[tuple[int, int, int]] = []
+    for n, a, b in areas:
+        if b - a > PART:
+            yield n, a, model.decode(_parts(model, texts[n], a, b))
+            continue
+        held.append((n, a, b))
+        if len(held) >= 512:
+            yield from ((m, x, model.viterbi(e)) for (m, x, _), e in zip(held, _blend(model, texts, held)))
+            held = []
+    if held:
+        yield from ((m, x, model.viterbi(e)) for (m, x, _), e in zip(held, _blend(model, texts, held)))
+
+
 def find_spans(texts: list[str], model: CharTagger) -> list[tuple[list, list]]:
     """(base spans, added spans) of each text."""
     base = [base_spans(t) for t in texts]
+    starts = [[x for _, x, _ in sorted(b, key=lambda s: s[1])] for b in base]
+    longest = [max((y - x for _, x, y in b), default=0) for b in base]
+    taken: list[dict[int, int]] = [{} for _ in base]  # start of a base span -> its end
+    for own, b in zip(taken, base):
+        for _, x, y in b:
+            own[x] = max(own.get(x, y), y)
+
+    def touches(n: int, start: int, end: int) -> bool:
+        at = bisect.bisect_left(starts[n], start - longest[n])
+        while at < len(starts[n]) and starts[n][at] < end:
+            if taken[n][starts[n][at]] > start:
+                return True
+            at += 1
+        return False
+
     areas = [(n, a, b) for n, t in enumerate(texts) for a, b in stretches(t)]
     added: list[list] = [[] for _ in texts]
-    for at in range(0, len(areas), 2048):
-        some = areas[at : at + 2048]
-        for (n, a, _), scores in zip(some, _blend(model, texts, some)):
-            text, tags = texts[n], model.viterbi(scores)
-            i = 0
-            while i < len(tags):
-                if tags[i] == 0:
-                    i += 1
-                    continue
-                which, j = (tags[i] - 1) // 2, i + 1
-                while j < len(tags) and tags[j] == 2 + 2 * which:
-                    j += 1
-                kind, start, end = KINDS[which], a + i, a + j
-                while end > start and text[end - 1] in " \n.,-":
-                    end -= 1
-                if end > start and _valid(kind, text[start:end], text[start - 1 : start], text[end : end + 1]) and not any(start < y and x < end for _, x, y in base[n]):
-                    added[n].append((kind, start, end))
-                i = j
+    for n, a, tags in _labels(model, texts, areas):
+        text, some, last = texts[n], np.flatnonzero(tags), -1
+        for i in some.tolist():
+            if i <= last:
+                continue
+            which, j = (int(tags[i]) - 1) // 2, i + 1
+            while j < len(tags) and tags[j] == 2 + 2 * which:
+                j += 1
+            last = j - 1
+            kind, start, end = KINDS[which], a + i, a + j
+            while end > start and text[end - 1] in " \n.,-":
+                end -= 1
+            if end > start and _valid(kind, text[start:end], text[start - 1 : start], text[end : end + 1]) and not touches(n, start, end):
+                added[n].append((kind, start, end))
     return list(zip(base, added))
 
 
 def _found(docs: DataFrame, make, schema: str, fields: list[pa.DataType], extra: tuple[str, ...] = ()) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(train())
+    extra = carried(extra, "doc_id", *(x.split(" ")[0] for x in schema.split(", ")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
