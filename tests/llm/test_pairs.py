@@ -172,6 +172,19 @@ def test_nearest_matches_brute_force(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_vectors_of_one_id_and_of_any_length(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (4, [-1e200, 0.0]), (5, [-1e200, 0.0]), (6, [-1e-170, -1e-170]), (7, [-1e-170, -1e-170])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rabitq.near_vectors(df).toPandas()
+    assert sorted(zip(got.vec_id, got.n_links, got.component_id)) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (5, 1, 4), (6, 1, 6), (7, 1, 6)]
+    near = ann.nearest(df, F.col("vec_id") > 0, k=2, block_rows=3).toPandas()
+    assert len(near) == 2 * len(rows) and sorted(near.query_id.unique()) == [1, 2, 3, 4, 5, 6, 7]
+    one = near[near.query_id == 1]
+    assert sorted(one[one["rank"] == 1].vec_id) == [2, 3] and np.allclose(one[one["rank"] == 1].score, 0.01)
+    assert near[near.query_id == 4].sort_values("rank").vec_id.tolist()[0] == 5
+    assert near[(near.query_id == 6) & (near["rank"] == 1)].iloc[0].tolist() == [6, 1, 7, 0.0]
+
+
 def lines_frame(spark):
     rng = np.random.default_rng(8)
     word = lambda: "".join(rng.choice(list("abcdefgh"), 5))

@@ -277,3 +277,147 @@ def test_chat_registered(spark, sf_dir):
 def test_registered_texts_run(spark, sf_dir):
     for name in ("op2_packing", "op3_pii", "op8_bpe"):
         assert queries.queries()[name](spark, sf_dir).count() > 0
+
+
+def test_packing_long_blanks_and_repeated_rows(spark, reference):
+    blank = "a" + " \n" * 60_000 + " b" + " " * 40_000
+    assert packing.token_ids(blank, PATH).tolist() == reference.encode(blank, add_special_tokens=False).ids
+    assert len(packing.token_ids(" " * 2_000_000, PATH))
+    docs = spark.createDataFrame([(1, "the same text")] * 3_000, "doc_id long, text string").coalesce(1)
+    pieces = packing.cut_documents(docs, PATH)
+    got = packing.pack_pieces(pieces, shard_pieces=100).toPandas()
+    assert len(got) == 3_000 and (got.sequence_id % 30).nunique() > 20
+    assert (got.sort_values(["sequence_id", "offset"]).groupby("sequence_id").length.cumsum() <= 2048).all()
+
+
+def test_no_letter_is_und(spark):
+    rows = [(i, "der Hund und die Katze" if i % 2 else "the dog and the cat", "de" if i % 2 else "en") for i in range(60)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = ["\u00b2\u00bd", "\u2460", "\u2167", "123 _", "", None]
+    got = langid.identify(spark.createDataFrame([(i, t, "x", 1.0) for i, t in enumerate(odd)], "doc_id long, text string, lang_pred string, score double"), model).toPandas()
+    assert set(got.lang_pred) == {"und"} and (got.score == 0).all()
+    assert langid.identify(spark.createDataFrame([], "doc_id long, text string"), model).count() == 0
+
+
+def test_langid_matches_brute_force(spark, sf_dir):
+    """Sets of n-grams in place of Bloom filters: the same language wherever the two
+    highest shares of hits differ by more than the filters' false positives."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.learn(docs.where("doc_id % 5 <> 0"))
+    all_rows = docs.toPandas()
+    known = all_rows[(all_rows.doc_id % 5 != 0) & all_rows.lang.notna() & all_rows.text.notna()]
+    grams = {}
+    for lang, texts in known.groupby("lang").text:
+        found, n = np.unique(np.concatenate([np.unique(langid.gram_hashes(t)) for t in texts]), return_counts=True)
+        grams[lang] = set(found[n >= langid.MIN_SHARE * len(texts)].tolist())
+    assert model.languages == sorted(grams)
+    got = langid.identify(docs, model).toPandas().set_index("doc_id").lang_pred
+    compared = 0
+    for doc, text in zip(all_rows.doc_id, all_rows.text):
+        if not text or not any(map(str.isalpha, text)):
+            assert got[doc] == "und"
+            continue
+        own = langid.gram_hashes(text).tolist()
+        shares = {lang: sum(g in s for g in own) / len(own) for lang, s in grams.items()}
+        first, second = sorted(shares.values(), reverse=True)[:2]
+        if first - second > 0.02:
+            compared += 1
+            assert got[doc] == max(shares, key=shares.get), doc
+    assert compared > 0.9 * len(all_rows)
+
+
+def test_quality_matches_brute_force(spark, sf_dir):
+    """Every cosine in double precision, neighbours sorted by similarity and place."""
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.learn(docs.where("doc_id % 3 <> 1"), labels.where("doc_id % 3 <> 1"))
+    assert len(model.vectors) > quality.NEIGHBOURS and np.allclose((model.vectors**2).sum(1), 1, atol=1e-4)
+    got = quality.score(docs.select("doc_id", "text"), model).toPandas().set_index("doc_id").score
+    for doc, text in docs.select("doc_id", "text").toPandas().itertuples(index=False):
+        own = quality.terms(text).astype(float) * model.weights @ model.axes
+        if not own.any():
+            assert got[doc] == model.prior
+            continue
+        alike = [round(float(own @ v / np.linalg.norm(own)), 6) for v in model.vectors.astype(float)]
+        near = sorted(range(len(alike)), key=lambda i: (-alike[i], i))[: quality.NEIGHBOURS]
+        weight = np.exp(quality.SHARPNESS * (np.array(alike)[near] - alike[near[0]])) * model.balance[near]
+        assert abs(got[doc] - (weight * model.votes[near]).sum() / weight.sum()) < 0.02
+
+
+def test_quality_ties_and_clashing_columns(spark):
+    text = "Some words that stand here. " * 3
+    docs = spark.createDataFrame([(i, text, 7.0, "x") for i in range(60)], "doc_id long, text string, score double, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = quality.learn(docs, labels)
+    got = quality.score(docs, model, ("score", "lang")).toPandas()
+    assert list(got.columns) == ["doc_id", "score", "lang"] and got.score.nunique() == 1
+    first = model.votes[: quality.NEIGHBOURS]
+    assert abs(got.score[0] - first.mean()) < 1e-6
+    assert quality.score(docs.limit(0), model).count() == 0
+
+
+def test_added_spans_match_brute_force():
+    """Windows, blending and Viterbi one by one in double loops give the same spans."""
+    model, half = pii.train(), pii.WINDOW // 2
+    texts = [t for t, _ in pii.labelled_texts(25, 5)] + ["no mark at all", "", "4 5 " * 30, "call (212) 555-0199 or mail ann [at] site [dot] org now"]
+    for text, (base, added) in zip(texts, pii.find_spans(texts, model)):
+        marks = [m.start() for m in re.finditer(pii._MARKS, text)]
+        starts = [s for s in range(0, max(1, len(text)), half) if any(s <= m < s + pii.WINDOW for m in marks)]
+        covered = np.zeros(len(text), bool)
+        total, weight = np.zeros((len(text), pii.TAGS)), np.full((len(text), 1), 1e-6)
+        for s in starts:
+            codes = np.zeros((1, pii.WINDOW), np.int64)
+            own = pii.char_codes(text[s : s + pii.WINDOW])
+            codes[0, : len(own)] = own
+            e = model.emissions(codes)[0]
+            for i in range(len(own)):
+                near = 1 - abs(i - (pii.WINDOW - 1) / 2) / (pii.WINDOW / 2 + 1)
+                total[s + i] += e[i] * near
+                weight[s + i] += near
+                covered[s + i] = True
+        want, at = [], 0
+        while at < len(text):
+            if not covered[at]:
+                at += 1
+                continue
+            end = at
+            while end < len(text) and covered[end]:
+                end += 1
+            scores = total[at:end] / weight[at:end]
+            best, back = scores[0] + model.w["first"], []
+            for t in range(1, len(scores)):
+                step = best[:, None] + model.w["crf"]
+                back.append(step.argmax(0))
+                best = step.max(0) + scores[t]
+            tags = [int(best.argmax())]
+            for b in reversed(back):
+                tags.append(int(b[tags[-1]]))
+            tags = tags[::-1]
+            i = 0
+            while i < len(tags):
+                if not tags[i]:
+                    i += 1
+                    continue
+                kind, j = (tags[i] - 1) // 2, i + 1
+                while j < len(tags) and tags[j] == 2 + 2 * kind:
+                    j += 1
+                a, b = at + i, at + j
+                while b > a and text[b - 1] in " \n.,-":
+                    b -= 1
+                if b > a and pii._valid(pii.KINDS[kind], text[a:b], text[a - 1 : a], text[b : b + 1]) and not any(a < y and x < b for _, x, y in base):
+                    want.append((pii.KINDS[kind], a, b))
+                i = j
+            at = end
+        assert added == want, text
+
+
+def test_long_stretches_are_decoded_in_parts(monkeypatch):
+    model = pii.train()
+    text = "".join(f"id {i} and 2{i % 10}5 555 01{i % 90 + 10} or " for i in range(400)) + "call (212) 555-0199 now"
+    whole = pii.find_spans([text], model)
+    monkeypatch.setattr(pii, "PART", 4 * pii.WINDOW)
+    assert pii.find_spans([text], model) == whole and whole[0][1]
+
+
+def test_redact_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.org now", "x", 3)], "doc_id long, text string, TEXT2 string, spans int")
+    assert pii.redact(docs, ("TEXT2", "spans", "text")).toPandas().iloc[0].tolist() == [1, "mail [EMAIL] now", "x", 3]

@@ -16,8 +16,11 @@ returns a link count for each vector and a spanning forest of the links found,
 never the pairs. Vectors of different dimension are not compared.
 
 Vectors that are null, empty, zero or hold null or non-finite components link
-with nothing. Repeated ids are returned as often as they come. An empty table
-gives an empty result.
+with nothing. Rows that repeat an id are returned as often as they come, each with
+the links of its own vector; component_id is the smallest id of a component, so two
+components may carry the same one where an id repeats. Lengths do not overflow: vectors
+are scaled by powers of two first. An empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 from .graph import components
-from .vectors import BLOCK_ROWS, pack_blocks, read_vectors, unpack
+from .vectors import BLOCK_ROWS, pack_blocks, read_vectors, scaled, unpack
 
 EPSILON = 8.0
 SEED = 20
@@ -49,6 +52,7 @@ class Codes:
     """Packed sign bits and correction factors of a block, and its turned vectors."""
 
     def __init__(self, vecs: np.ndarray):
+        vecs = scaled(vecs)[0]
         self.vecs = vecs
         self.lengths = np.sqrt(np.einsum("ij,ij->i", vecs, vecs))
         turned = (vecs / self.lengths[:, None]) @ rotation(vecs.shape[1])
@@ -125,7 +129,10 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     scratch = Scratch(rows.sparkSession, "vectors")
     vectors = scratch.save(read_vectors(rows, id_col, vector_col))
     key = ["dim", "key_high", "key_low"]
-    distinct = scratch.save(vectors.where("valid").groupBy(*key).agg(F.min("id").alias("id"), F.count("*").alias("times"), F.first("vec").alias("vec")))
+    # classes of equal vectors are numbered as they are written; no two share a number,
+    # whatever their ids
+    distinct = vectors.where("valid").groupBy(*key).agg(F.min("id").alias("least"), F.count("*").alias("times"), F.first("vec").alias("vec"))
+    distinct = scratch.save(distinct.withColumn("id", F.monotonically_increasing_id()))
     packed, blocks = pack_blocks(distinct, block_rows, "times")
     packed = scratch.save(packed)
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
@@ -133,8 +140,12 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     found = scratch.save(dealt.groupBy("dim", "low", "high").applyInPandas(_compare(threshold, epsilon), "id long, links long, root long"))
     parts = components(found.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")), scratch)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = distinct.select(*key, "id", "times").join(links, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left")
-    classes = scratch.save(classes.select(*key, (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
-    out = vectors.where("valid").select("id", *key).join(classes, key).select("id", "n_links", "component_id")
+    classes = distinct.select(*key, "id", "least", "times").join(links, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left")
+    classes = classes.select(*key, "least", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    classes = scratch.save(classes)
+    smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = classes.join(smallest, "component").select(*key, "n_links", "component_id")
+    own = [vectors[k] == classes[k] for k in key]
+    out = vectors.where("valid").join(classes, own).select("id", "n_links", "component_id")
     lone = vectors.where("not valid").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return out.unionByName(lone).select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
