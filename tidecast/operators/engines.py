@@ -71,8 +71,13 @@ def task_table(history: DataFrame, windows: DataFrame, grids: DataFrame, partiti
     return tasks.repartition(n, "series_id", "technique", "window_no", "trial")
 
 
+def trials(technique: str, limit: int | None = None) -> list[dict]:
+    """The parameter sets that a search tries."""
+    return GRIDS[technique][:limit]
+
+
 def grid_frame(spark, techniques: list[str], limit: int | None = None) -> DataFrame:
-    rows = [(t, i, json.dumps(p, sort_keys=True)) for t in techniques for i, p in enumerate(GRIDS[t][:limit])]
+    rows = [(t, i, json.dumps(p, sort_keys=True)) for t in techniques for i, p in enumerate(trials(t, limit))]
     return spark.createDataFrame(rows, "technique string, trial int, params string")
 
 
@@ -177,7 +182,7 @@ def run_search(tasks: DataFrame, held_out: int) -> DataFrame:
                 f = fit_forecast(task.technique, json.loads(task.params), y[:cut], years[:cut], months[:cut], drivers[:cut], held_out)
                 some = y[cut:] != 0
                 error = float(np.mean(np.abs((y[cut:] - f)[some] / y[cut:][some])) * 100)
-            except (ValueError, IndexError, np.linalg.LinAlgError, FloatingPointError, ZeroDivisionError):
+            except Exception:  # one fit never stops the rest
                 pass
             yield pd.DataFrame([(task.series_id, task.technique, task.trial, task.params, task.window_no, error if error is not None and np.isfinite(error) else None)], columns=["series_id", "technique", "trial", "params", "window_no", "error"]).astype({"error": "float64"})
 
@@ -197,7 +202,7 @@ def run_forecasts(tasks: DataFrame, steps: int) -> DataFrame:
                 f = fit_forecast(task.technique, json.loads(task.params), y, years, months, drivers, steps)
                 if not np.isfinite(f).all():
                     error, f = "the forecast is not finite", [None]
-            except (ValueError, IndexError, np.linalg.LinAlgError, FloatingPointError, ZeroDivisionError) as e:
+            except Exception as e:  # one fit never stops the rest
                 error = f"{type(e).__name__}: {e}"
             out = pd.DataFrame({"step": np.arange(1, len(f) + 1) if error is None else [0], "predicted": pd.array(list(f), "Float64").astype("float64")})
             yield out.assign(series_id=task.series_id, technique=task.technique, window_no=task.window_no, train_end=task.train_end, seed=task.seed, error=error)[["series_id", "technique", "window_no", "train_end", "step", "predicted", "seed", "error"]]

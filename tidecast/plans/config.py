@@ -3,7 +3,7 @@ these are the defaults."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +70,8 @@ class Scoring:
 
 @dataclass(frozen=True)
 class Gate:
+    """The least gain over the sibling, the largest p-value, the shuffles."""
+
     min_mape_drop: float = 1.5
     max_p_value: float = 0.05
     permutations: int = 30
@@ -77,19 +79,22 @@ class Gate:
 
 @dataclass(frozen=True)
 class Run:
-    """Parameters of a run; fast() is the reduced form for tries."""
+    """Parameters of a run, with fixed values as defaults; fast() is the reduced form
+    for tries. grid_limit is the number of parameter sets tried for a technique (None:
+    the number that each has of its own)."""
 
     anchor: str = "2025-03-01"
     frequency: str = "monthly"
     n_windows: int | None = None
     permutations: int = 30
     stability_runs: int = 10
+    importance_trees: int = 200
     grid_limit: int | None = None
     scoring: Scoring = field(default_factory=Scoring)
     gate: Gate = field(default_factory=Gate)
 
     def fast(self) -> Run:
-        return Run(self.anchor, self.frequency, 4, 2, 2, 2, self.scoring, self.gate)
+        return replace(self, n_windows=4, permutations=2, stability_runs=2, importance_trees=20, grid_limit=2)
 
 
 def dim_horizon(spark: SparkSession) -> DataFrame:

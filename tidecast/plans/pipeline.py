@@ -25,16 +25,19 @@ def prepare_drivers(prices: DataFrame, raw: DataFrame, low: int = 0, high: int =
     return scores, drivers.gated_drivers(prices, drivers.selected_lags(raw, scores), method)
 
 
-def select_drivers(prices: DataFrame, raw: DataFrame, run: Run = Run(), overrides: DataFrame | None = None, min_corr: float = 0.4) -> DataFrame:
+def select_drivers(prices: DataFrame, raw: DataFrame, run: Run = Run(), overrides: DataFrame | None = None, min_corr: float = 0.4, save: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(series_id, name, origin, criterion): any of four criteria on adequate drivers
     (relative importance among stable ones, correlation, Granger, Johansen), then
-    overrides, redundancy on raw series, and the exchange-rate net."""
-    scores, gated = prepare_drivers(prices, raw)
+    overrides, redundancy on raw series, and the exchange-rate net. A series without an
+    adequate driver has no rows. save writes a table to the shared folder, so that lag
+    search, gating, forests and tests run once."""
+    scores = save(drivers.lag_search(prices, raw, 0, 3))
+    gated = save(drivers.gated_drivers(prices, drivers.selected_lags(raw, scores)))
     strength = scores.where("selected").select("series_id", F.col("driver").alias("name"), F.abs("pearson").alias("strength"), F.col("pearson").alias("corr"))
     pool = gated.select("series_id", F.col("driver").alias("name")).distinct()
     strength = strength.join(pool, ["series_id", "name"], "left_semi")
-    shares = engines.combined_importance(engines.importance(prices, gated, run.stability_runs))
-    tests = engines.driver_tests(prices, gated).select("series_id", F.col("driver").alias("name"), "granger", "johansen")
+    shares = save(engines.combined_importance(engines.importance(prices, gated, run.stability_runs, run.importance_trees)))
+    tests = save(engines.driver_tests(prices, gated)).select("series_id", F.col("driver").alias("name"), "granger", "johansen")
     stable = shares.where(F.col("stability") >= MIN_STABILITY)
     picked = selection.any_criterion({
         "importance": selection.above_relative(stable), "correlation": selection.above_correlation(strength, min_corr),
@@ -42,7 +45,8 @@ def select_drivers(prices: DataFrame, raw: DataFrame, run: Run = Run(), override
     })
     if overrides is None:
         overrides = pool.select("series_id").distinct().select("series_id", F.lit(None).cast("array<string>").alias("must_include"), F.lit(None).cast("array<string>").alias("force_exclude"))
-    chosen = selection.apply_overrides(pool, picked, overrides)
+    picked = save(picked)
+    chosen = save(selection.apply_overrides(pool, picked, overrides))
     pairs = selection.pair_correlations(raw, "driver", "raw")
     kept = selection.greedy_redundancy(chosen.join(strength, ["series_id", "name"], "left"), pairs).where("kept").select("series_id", "name")
     final = selection.exchange_rate_net(chosen.join(kept, ["series_id", "name"], "left_semi"), strength)
@@ -62,7 +66,7 @@ def permutation_mapes(prices, windows, gated, best, steps: int, seeds: int) -> D
     """(series_id, technique, seed, mape) of long-horizon refits with shuffled training drivers."""
     history = engines.histories(prices, gated)
     tasks = engines.task_table(history, windows, best.select("series_id", "technique", "trial", "params"))
-    tasks = tasks.withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))).cast("int"))
+    tasks = tasks.withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))))
     made = engines.run_forecasts(tasks, steps).where("error is null")
     long = made.where(F.col("step").between(*HORIZONS["monthly"]["long"])).join(prices.where("price <> 0").select("series_id", "ds", "price"), ["series_id", "ds"])
     per = long.groupBy("series_id", "technique", "seed", "window_no").agg(F.avg(F.abs((F.col("price") - F.col("predicted")) / F.col("price")) * 100).alias("m"))

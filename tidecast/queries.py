@@ -18,6 +18,7 @@ from .operators import backtest, benchmark, calendar, drivers, engines, features
 from .plans import pipeline
 from .plans.config import BUCKETS, HORIZONS, Run, dim_horizon, dim_technique
 from .sources import tables
+from .sources.shared import Scratch
 from .sources.tables import DRIVER_SQL, GRID_SQL, PRICE_SQL
 
 ANCHOR = "2000-09-01"
@@ -72,6 +73,10 @@ def _prices(spark, sf_dir):
     return calendar.dense_grid(tables.fact_price(spark, sf_dir))
 
 
+def _save(spark):
+    return Scratch(spark, "queries").save
+
+
 # --- sources, calendar, cleaning --------------------------------------------
 
 @query("monthly_price", f"WITH {PRICE_SQL} SELECT series_id, ds, price FROM fact_price")
@@ -550,6 +555,7 @@ _SCORED = "series_id, technique, horizon, evaluated_cycles, insufficient_history
 
 def _scores(spark, sf_dir):
     prices, detail = _detail(spark, sf_dir)
+    detail = _save(spark)(detail)
     return scoring.score(detail, backtest.summarise(detail), prices, dim_technique(spark))
 
 
@@ -679,7 +685,7 @@ current AS (SELECT b.series_id, b.horizon, coalesce(l.action, 'Pending') AS acti
 
 
 def _decisions(spark, sf_dir):
-    best = scoring.recommend(_ranks(spark, sf_dir))
+    best = _save(spark)(scoring.recommend(_ranks(spark, sf_dir)))
     ends = lambda d: F.col("series_id").endswith(d)
     confirmed = best.where(ends("1") & F.col("best").isNotNull()).select("series_id", "horizon", F.lit("ana").alias("analyst"), F.lit("2024-01-10").cast("timestamp").alias("ts"))
     other = best.where((F.col("horizon") == "long") & (ends("1") | ends("2"))).select("series_id", "horizon", F.lit("arima").alias("technique"), F.lit("bo").alias("analyst"), F.lit("market view").alias("justification"), F.lit("2024-02-03").cast("timestamp").alias("ts"))
@@ -697,7 +703,7 @@ def current_decisions(spark, sf_dir):
 SELECT series_id, horizon, forecast_cycle, CASE WHEN forecast_cycle = '2024-02' AND horizon = 'short' THEN 'ets' ELSE technique END AS technique, CASE WHEN forecast_cycle = '2024-02' AND horizon = 'short' THEN 'Overridden' ELSE action END AS action FROM h1""")
 def selection_history(spark, sf_dir):
     best, log = _decisions(spark, sf_dir)
-    now = governance.current_decisions(log, best).where("technique is not null")
+    now = _save(spark)(governance.current_decisions(log, best).where("technique is not null"))
     regions = _regions(spark, sf_dir)
     history = governance.record_selection(governance.empty_history(spark), now, regions, "2024-01", "2024-01-31")
     history = governance.record_selection(history, now, regions, "2024-02", "2024-02-28")
@@ -757,7 +763,7 @@ def driver_importance(spark, sf_dir):
 @query("select_drivers")
 def select_drivers(spark, sf_dir):
     prices, raw = _fit_data(spark, sf_dir)
-    return pipeline.select_drivers(prices, raw, Run(stability_runs=2), min_corr=0.1)
+    return pipeline.select_drivers(prices, raw, Run(stability_runs=2), min_corr=0.1, save=_save(spark))
 
 
 @query("decomposition")
@@ -803,14 +809,14 @@ def permutation_test(spark, sf_dir):
 def run_batch(spark, sf_dir):
     """The whole run in its fast form, with four techniques."""
     prices, raw = _fit_data(spark, sf_dir)
-    out = pipeline.run_batch(prices, raw, Run(anchor=ANCHOR).fast(), ["arima", "ets", "var", "arimax"])
+    out = pipeline.run_batch(prices, raw, Run(anchor=ANCHOR).fast(), ["arima", "ets", "var", "arimax"], _save(spark))
     return _flat(out["ranks"], "rank")
 
 
 @query("registry_predictions")
 def registry_predictions(spark, sf_dir):
     prices, raw = _fit_data(spark, sf_dir)
-    out = pipeline.run_batch(prices, None, Run(anchor=ANCHOR).fast(), ["arima", "ets"])
+    out = pipeline.run_batch(prices, None, Run(anchor=ANCHOR).fast(), ["arima", "ets"], _save(spark))
     registry = pipeline.model_registry(out["ranks"], out["best"], prices, "2024-01-01")
     return rounded(pipeline.predict(registry, prices, None), 4)
 
