@@ -23,9 +23,9 @@ def _div(a: float, b: float) -> float:
     return a / b if b else 0.0
 
 
-def feature_row(past: np.ndarray, past_months: np.ndarray, year: int, month: int, first_year: int) -> dict[str, float]:
-    """Features of the month after `past`; past_months are 1..12 of its rows."""
-    s, n = sizes(), len(past)
+def feature_row(past: np.ndarray, past_months: np.ndarray, year: int, month: int, first_year: int, frequency: str = "monthly") -> dict[str, float]:
+    """Features of the period after `past`; past_months are 1..12 of its rows."""
+    s, n = sizes(frequency), len(past)
     back = lambda k: float(past[-min(k, n)])
     spread = lambda v: float(v.std(ddof=1)) if len(v) > 1 else 0.0
     one = back(1)
@@ -42,7 +42,7 @@ def feature_row(past: np.ndarray, past_months: np.ndarray, year: int, month: int
     short, long = s["rolling"][0], s["rolling"][-1]
     out |= {"price_to_ma_long": _div(one, mean[long]), "price_to_ma_short": _div(one, mean[short]), "ma_short_to_ma_long": _div(mean[short], mean[long])}
     all_mean = float(past.mean())
-    same = past[past_months == month]
+    same = past[past_months == month] if frequency == "monthly" else past[(past_months - 1) // 3 == (month - 1) // 3]
     out |= {"expanding_mean": all_mean, "expanding_std": spread(past), "price_to_expanding_mean": _div(one, all_mean), "seasonal_index": _div(float(same.mean()) if len(same) else all_mean, all_mean)}
     k = s["long"]
     v = past[-k:]
@@ -50,11 +50,16 @@ def feature_row(past: np.ndarray, past_months: np.ndarray, year: int, month: int
     return out | calendar_row(year, month, first_year)
 
 
-def feature_matrix(prices: np.ndarray, years: np.ndarray, months: np.ndarray, warmup: int = 13) -> np.ndarray:
-    """Rows warmup.. of the features, in the order of feature_table."""
-    names = [n for n, _, _ in feature_table()]
+def warmup(frequency: str = "monthly") -> int:
+    """Rows before the first whose longest lag and its change are known."""
+    return sizes(frequency)["lags"][-1] + 1
+
+
+def feature_matrix(prices: np.ndarray, years: np.ndarray, months: np.ndarray, frequency: str = "monthly") -> np.ndarray:
+    """The features from row warmup on, in the order of feature_table."""
+    names = [n for n, _, _ in feature_table(frequency)]
     rows = []
-    for t in range(warmup, len(prices)):
-        f = feature_row(prices[:t], months[:t], int(years[t]), int(months[t]), int(years[0]))
+    for t in range(warmup(frequency), len(prices)):
+        f = feature_row(prices[:t], months[:t], int(years[t]), int(months[t]), int(years[0]), frequency)
         rows.append([f[n] for n in names])
     return np.array(rows).reshape(len(rows), len(names))

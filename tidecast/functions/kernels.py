@@ -9,6 +9,7 @@ with y oldest first and returns an array, or raises.
 
 from __future__ import annotations
 
+import heapq
 import itertools
 import math
 
@@ -176,25 +177,48 @@ def partial_autocorrelation(y: np.ndarray, lags: int) -> np.ndarray:
     return np.array(out)
 
 
-def decompose(y: np.ndarray, season: int = 12) -> dict[str, np.ndarray]:
-    """Additive trend (local lines with tricube weights), season (smoothed means of each
-    phase, centred) and rest, over a few rounds."""
-    n, at = len(y), np.arange(len(y), dtype=float)
-    seasonal = np.zeros(n)
-
-    def smooth(v: np.ndarray, span: int) -> np.ndarray:
-        out, span = np.empty(len(v)), min(span, len(v))
-        for i in range(len(v)):
-            low = min(max(0, i - span // 2), len(v) - span)
-            x = np.arange(low, low + span) - i
-            w = np.sqrt((1 - np.minimum(1, np.abs(x) / (max(np.abs(x).max(), 1) + 1)) ** 3) ** 3)
-            out[i] = np.linalg.lstsq(np.column_stack([w, w * x]), w * v[low : low + span], rcond=None)[0][0]
-        return out
-
-    for _ in range(3):
-        trend = smooth(y - seasonal, 2 * season - 1 if n > 2 * season else max(3, n))
-        means = np.array([np.mean((y - trend)[at % season == p]) if (at % season == p).any() else 0.0 for p in range(season)])
-        seasonal = (means - means.mean())[(at % season).astype(int)]
+def loess(t: np.ndarray, y: np.ndarray, at: np.ndarray, window: int, weights: np.ndarray | None = None) -> np.ndarray:
+    """Locally weighted linear fits of y over t, at given places, with tricube weights over
+    the nearest `window` points (stretched where there are fewer)."""
+    gap = np.abs(at[:, None] - t[None])
+    k = min(window, len(t))
+    reach = np.partition(gap, k - 1, axis=1)[:, k - 1] * (window / k if window > k else 1.0)
+    w = np.clip(1 - (gap / np.maximum(reach * (1 + 1e-9), 1e-9)[:, None]) ** 3, 0, 1) ** 3 + 1e-300
+    if weights is not None:
+        w = w * weights[None]
+    total = np.maximum(w.sum(1), 1e-300)
+    mid, mean = (w @ t) / total, (w @ y) / total
+    square = (w * (t[None] - mid[:, None]) ** 2).sum(1)
+    slope = (w * (t[None] - mid[:, None])) @ y / np.where(square > 1e-9 * total, square, np.inf)
+    return mean + slope * (at - mid)
+
+
+def decompose(y: np.ndarray, season: int = 12, seasonal_window: int = 7, rounds: int = 2, robust: int = 1) -> dict[str, np.ndarray]:
+    """Trend, seasonal and rest by STL: each phase is smoothed over the years by LOESS, what
+    moving averages keep of that is taken off, and the deseasonalised rows are smoothed
+    for the trend; `robust` times more with weights that outliers lose."""
+    n, t = len(y), np.arange(len(y), dtype=float)
+    if n < 2 * season:
+        raise ValueError("two seasons at least")
+    odd = lambda v: int(v) | 1
+    trend_window = odd(math.ceil(1.5 * season / (1 - 1.5 / seasonal_window)))
+    mean = lambda v, k: np.convolve(v, np.ones(k) / k, "valid")
+    trend, seasonal, weight = np.zeros(n), np.zeros(n), np.ones(n)
+    for outer in range(robust + 1):
+        for _ in range(rounds):
+            rest, wide = y - trend, np.zeros(n + 2 * season)
+            for phase in range(season):
+                own = np.arange(phase, n, season)
+                place = np.arange(len(own), dtype=float)
+                smooth = loess(place, rest[own], np.arange(-1.0, len(own) + 1), seasonal_window, weight[own])
+                wide[phase : phase + season * len(smooth) : season] = smooth
+            low = mean(mean(mean(wide, season), season), 3)
+            seasonal = wide[season : season + n] - loess(t, low, t, odd(season))
+            trend = loess(t, y - seasonal, t, trend_window, weight)
+        rest = y - trend - seasonal
+        if outer < robust:
+            top = 6 * np.median(np.abs(rest)) + 1e-12
+            weight = np.clip(1 - (rest / top) ** 2, 0, 1) ** 2
     return {"trend": trend, "seasonal": seasonal, "resid": y - trend - seasonal}
 
 
@@ -282,7 +306,7 @@ def arima(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
 
 def arimax(y: np.ndarray, params: dict, steps: int, x: np.ndarray, future: np.ndarray) -> np.ndarray:
     """Regression on drivers with ARMA errors. Missing future rows repeat the last one;
-    without an order, the one with the least AIC among a few is taken."""
+    without an order, it is searched for stepwise."""
     scale, mid = x.std(0), x.mean(0)
     use = scale > 0
     z = lambda m: (m[:, use] - mid[use]) / scale[use]
@@ -291,28 +315,52 @@ def arimax(y: np.ndarray, params: dict, steps: int, x: np.ndarray, future: np.nd
     gram = design.T @ design + 1e-3 * np.eye(design.shape[1])
     beta = np.linalg.solve(gram, design.T @ y)
     rest = y - design @ beta
-    orders = [params] if "p" in params else arimax_orders(params.get("s", 1)) if len(y) >= 24 else [{"p": 1, "d": 1, "q": 1}]
-    best = None
-    for order in orders:
-        try:
-            s = order.get("s", 12)
-            w, _ = _difference(rest, order["d"], order.get("D", 0), s)
-            aic = fit_arma(w, _lags(order["p"], order.get("P", 0), s), _lags(order["q"], order.get("Q", 0), s))[2] / len(w)
-        except (ValueError, np.linalg.LinAlgError):
-            continue
-        if best is None or aic < best[0]:
-            best = (aic, order)
-    order = best[1] if best else {"p": 1, "d": 1, "q": 1}
+    order = params if "p" in params else stepwise_order(rest, params.get("s", 1))
     return np.column_stack([np.ones(steps), z(rows[:steps])]) @ beta + arima(rest, order, steps)
 
 
-def arimax_orders(season: int) -> list[dict]:
-    out = [{"p": p, "d": d, "q": q} for p in range(4) for d in (0, 1) for q in (0, 1) if p + q]
-    return out + [{**o, "P": 1, "D": 0, "Q": 0, "s": season} for o in out if season > 1 and o["p"] <= 1]
+def stepwise_order(y: np.ndarray, season: int = 1, top: tuple[int, int, int] = (3, 2, 3), least: int = 24) -> dict:
+    """Order of least AIC found step by step: differences until KPSS accepts a level as
+    stationary (at most top d), then p and q (and, with a season, P and Q up to 1) from
+    four starts to the best neighbour until none is better. (1, 1, 1) for fewer rows
+    than `least`, or where nothing fits."""
+    default = {"p": 1, "d": 1, "q": 1}
+    if len(y) < least:
+        return default
+    d, w = 0, y
+    while d < top[1] and np.ptp(w) > 0 and kpss(w)[1] < 0.05:
+        d, w = d + 1, np.diff(w)
+    tried: dict[tuple, float] = {}
+
+    def aic(o: tuple) -> float:
+        if o not in tried:
+            p, q, a, b = o
+            try:
+                if p + q + a + b == 0 or not (0 <= p <= top[0] and 0 <= q <= top[2] and 0 <= a <= int(season > 1) and 0 <= b <= int(season > 1)):
+                    raise ValueError("outside the range")
+                tried[o] = fit_arma(w, _lags(p, a, season), _lags(q, b, season))[2] / len(w)
+            except (ValueError, np.linalg.LinAlgError):
+                tried[o] = math.inf
+        return tried[o]
+
+    at = min([(2, 2, 0, 0), (1, 0, 0, 0), (0, 1, 0, 0), (1, 1, int(season > 1), 0)], key=aic)
+    while True:
+        near = [tuple(v + (i == k) * move for i, v in enumerate(at)) for k in range(4) for move in (-1, 1)]
+        near += [(at[0] + m, at[1] + m, at[2], at[3]) for m in (-1, 1)]
+        nearest = min(near, key=aic)
+        if not aic(nearest) < aic(at) - 1e-12:
+            break
+        at = nearest
+    if math.isinf(aic(at)):
+        return default
+    seasonal = {"P": at[2], "D": 0, "Q": at[3], "s": season} if season > 1 else {}
+    return {"p": at[0], "d": d, "q": at[1], **seasonal}
 
 
 def ets(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
-    """Exponential smoothing: trend and seasonal each "add", "mul" or None, damped."""
+    """Exponential smoothing: trend and seasonal each "add", "mul" or None, damped. The first
+    states come from the first season ("heuristic"), or the best of a few shifts of its
+    level and slope is taken with the weights ("estimated")."""
     trend, seasonal, damped, s = params.get("trend"), params.get("seasonal"), params.get("damped", False), params.get("s", 12)
     if seasonal and len(y) < 2 * s:
         seasonal = None
@@ -320,8 +368,9 @@ def ets(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
         raise ValueError("multiplicative parts need positive values")
     grid = itertools.product((0.1, 0.3, 0.6, 0.9), (0.05, 0.2) if trend else (0.0,), (0.05, 0.3) if seasonal else (0.0,), (0.9, 0.98) if damped and trend else (1.0,))
     best = None
-    for a, b, g, phi in grid:
-        sse, state = _smooth(y, trend, seasonal, s, a, b, g, phi)
+    starts = [(0.0, 1.0)] if params.get("start", "heuristic") == "heuristic" else [(0.0, 1.0), (0.0, 0.0), (-0.5, 1.0), (0.5, 1.0)]
+    for (a, b, g, phi), (level, slope) in itertools.product(grid, starts):
+        sse, state = _smooth(y, trend, seasonal, s, a, b, g, phi, level, slope)
         if best is None or sse < best[0]:
             best = (sse, state, phi)
     (level, slope, season), phi = best[1], best[2]
@@ -334,14 +383,15 @@ def ets(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
     return np.array(out)
 
 
-def _smooth(y, trend, seasonal, s, a, b, g, phi):
+def _smooth(y, trend, seasonal, s, a, b, g, phi, shift=0.0, steep=1.0):
     n0 = s if seasonal else min(4, len(y) - 1)
     level = y[:n0].mean()
-    slope = 0.0 if trend is None else 1.0 if trend == "mul" else (y[min(len(y) - 1, 2 * n0 - 1)] - y[0]) / max(1, min(len(y) - 1, 2 * n0 - 1))
+    slope = 0.0 if trend is None else 1.0 if trend == "mul" else (y[min(len(y) - 1, 2 * n0 - 1)] - y[0]) / max(1, min(len(y) - 1, 2 * n0 - 1)) * steep
     season = np.zeros(s) if seasonal != "mul" else np.ones(s)
     if seasonal:
         season = y[:s] - level if seasonal == "add" else y[:s] / level
         season = season.copy()
+    level = level + shift * y[:n0].std()
     sse = 0.0
     for t, v in enumerate(y):
         base = level + phi * slope if trend == "add" else level * slope**phi if trend == "mul" else level
@@ -373,35 +423,49 @@ def project_driver(y: np.ndarray, steps: int, season: int = 12) -> tuple[np.ndar
 
 
 class Tree:
-    """A regression tree over exact splits, kept as flat arrays."""
-
-    def __init__(self, x, y, depth, leaf, n_features, rng):
-        self.nodes, self.gain = [], np.zeros(x.shape[1])
-        self._grow(x, y, depth, leaf, n_features, rng)
-
-    def _grow(self, x, y, depth, leaf, n_features, rng) -> int:
-        at = len(self.nodes)
-        self.nodes.append((-1, 0.0, -1, -1, float(y.mean())))
-        if depth == 0 or len(y) < 2 * leaf or np.ptp(y) == 0:
+    """A regression tree over exact splits, kept as flat arrays; the split with most gain
+    is made first, until there are `leaves` leaves (None: as many as the rest allows)."""
+
+    def __init__(self, x, y, depth, leaf, n_features, rng, leaves=None, split=2, ridge=0.0):
+        self.nodes, self.cover, self.gain = [], [], np.zeros(x.shape[1])
+        waiting: list[tuple] = []
+
+        def open_node(rows, left_depth):
+            at, t = len(self.nodes), y[rows]
+            self.nodes.append((-1, 0.0, -1, -1, float(t.sum() / (len(t) + ridge))))
+            self.cover.append(len(rows))
+            if left_depth > 0 and len(rows) >= max(split, 2 * leaf) and np.ptp(t) > 0:
+                found = self._best(x[rows], t, leaf, n_features, rng, ridge)
+                if found:
+                    heapq.heappush(waiting, (-found[0], at, rows, left_depth, *found[1:]))
             return at
+
+        open_node(np.arange(len(y)), depth if depth is not None else 1 << 30)
+        grown = 1
+        while waiting and (leaves is None or grown < leaves):
+            gain, at, rows, left_depth, j, cut = heapq.heappop(waiting)
+            self.gain[j] -= gain
+            low = x[rows, j] <= cut
+            self.nodes[at] = (j, cut, open_node(rows[low], left_depth - 1), open_node(rows[~low], left_depth - 1), self.nodes[at][4])
+            grown += 1
+
+    @staticmethod
+    def _best(x, y, leaf, n_features, rng, ridge):
+        """(gain, feature, cut) of the best split, or None."""
         n = len(y)
         some = rng.choice(x.shape[1], n_features, replace=False) if n_features < x.shape[1] else np.arange(x.shape[1])
         order = np.argsort(x[:, some], axis=0, kind="stable")
         v, t = np.take_along_axis(x[:, some], order, 0), np.cumsum(y[order], axis=0)
         k = np.arange(leaf, n - leaf + 1)[:, None]
         low, total = t[k[:, 0] - 1], t[-1]
-        score = low**2 / k + (total - low) ** 2 / (n - k) - total**2 / n
+        score = low**2 / (k + ridge) + (total - low) ** 2 / np.maximum(n - k + ridge, 1e-12) - total**2 / (n + ridge)
         score[v[k[:, 0] - 1] >= v[np.minimum(k[:, 0], n - 1)]] = -np.inf
         i, c = np.unravel_index(int(score.argmax()), score.shape)
         if not score[i, c] > 1e-12:
-            return at
-        j, cut = int(some[c]), float((v[k[i, 0] - 1, c] + v[k[i, 0], c]) / 2)
-        self.gain[j] += float(score[i, c])
-        left = x[:, j] <= cut
-        a = self._grow(x[left], y[left], depth - 1, leaf, n_features, rng)
-        b = self._grow(x[~left], y[~left], depth - 1, leaf, n_features, rng)
-        self.nodes[at] = (j, cut, a, b, self.nodes[at][4])
-        return at
+            return None
+        below, above = float(v[k[i, 0] - 1, c]), float(v[k[i, 0], c])
+        middle = (below + above) / 2
+        return float(score[i, c]), int(some[c]), middle if middle < above else below
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         out, todo = np.empty(len(x)), [(0, np.arange(len(x)))]
@@ -415,70 +479,117 @@ class Tree:
             todo += [(a, rows[left]), (b, rows[~left])]
         return out
 
+    def shapley(self, x: np.ndarray) -> np.ndarray:
+        """Exact Shapley values of each row's prediction, a feature left out being averaged
+        over by the training rows of each branch. A leaf's value counts for a set of known
+        features as a product over its path: 1 or 0 for a known one, the branches' shares
+        for an unknown one. These products are polynomials in the size of the set."""
+        out = np.zeros(x.shape)
+        todo: list[tuple[int, dict[int, tuple[float, float, float]]]] = [(0, {})]
+        while todo:
+            at, path = todo.pop()
+            j, cut, a, b, value = self.nodes[at]
+            if j >= 0:
+                low, high, share = path.get(j, (-np.inf, np.inf, 1.0))
+                todo.append((a, {**path, j: (low, min(high, cut), share * self.cover[a] / self.cover[at])}))
+                todo.append((b, {**path, j: (max(low, cut), high, share * self.cover[b] / self.cover[at])}))
+                continue
+            d = len(path)
+            inside = {f: ((x[:, f] > low) & (x[:, f] <= high)).astype(float) for f, (low, high, _) in path.items()}
+            weight = np.array([math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)])
+            for f in path:
+                poly = np.zeros((d, len(x)))
+                poly[0] = 1.0
+                for n, other in enumerate(o for o in path if o != f):
+                    moved = poly[: n + 1] * inside[other]
+                    poly[: n + 1] *= path[other][2]
+                    poly[1 : n + 2] += moved
+                out[:, f] += value * (inside[f] - path[f][2]) * (weight @ poly)
+        return out
+
 
 class Forest:
-    def __init__(self, x, y, trees=60, depth=6, leaf=2, seed=42, **_):
-        rng = np.random.default_rng(seed)
-        k = max(1, x.shape[1] // 3)
+    def __init__(self, x, y, trees=60, depth=6, leaf=2, split=2, features=1 / 3, seed=42, **_):
+        rng, n = np.random.default_rng(seed), x.shape[1]
+        k = {"sqrt": math.isqrt(n), "log2": int(math.log2(max(1, n))), None: n}[features] if features is None or isinstance(features, str) else int(n * features)
         self.trees = []
         for _i in range(trees):
             rows = rng.integers(0, len(y), len(y))
-            self.trees.append(Tree(x[rows], y[rows], depth, leaf, k, rng))
+            self.trees.append(Tree(x[rows], y[rows], depth, leaf, min(n, max(1, k)), rng, split=split))
 
     def predict(self, x):
         return np.mean([t.predict(x) for t in self.trees], 0)
 
+    def shapley(self, x):
+        return np.mean([t.shapley(x) for t in self.trees], 0)
+
     @property
     def importance(self):
         return sum(t.gain for t in self.trees)
 
 
 class Boosting:
-    """Least-squares boosting; with early stopping on the last fifth where there are 10 rows or more."""
-
-    def __init__(self, x, y, trees=80, depth=3, leaf=3, rate=0.1, seed=42, stop=0, **_):
-        rng, self.rate, self.start = np.random.default_rng(seed), rate, float(y.mean())
-        self.trees, cut = [], len(y) - max(1, len(y) // 5) if stop and len(y) >= 10 else len(y)
-        fit, held = np.full(cut, self.start), np.full(len(y) - cut, self.start)
-        best, since = np.inf, 0
-        for _i in range(trees):
-            rows = rng.permutation(cut)[: max(4, int(cut * 0.8))]
-            tree = Tree(x[rows], (y[:cut] - fit)[rows], depth, leaf, max(1, int(x.shape[1] * 0.8)), rng)
+    """Least-squares boosting. The last `held` rows stop it after `stop` rounds without
+    gain, where at least 10 others remain."""
+
+    def __init__(self, x, y, trees=80, depth=3, leaf=3, leaves=None, rate=0.1, ridge=0.0, rows=0.8, columns=0.8, seed=42, stop=0, held=0, **_):
+        rng, self.rate = np.random.default_rng(seed), rate
+        cut = len(y) - held if stop and held and len(y) - held >= 10 else len(y)
+        self.start, self.trees = float(y[:cut].mean()), []
+        fit, ahead = np.full(cut, self.start), np.full(len(y) - cut, self.start)
+        best, since, kept = np.inf, 0, 0
+        for i in range(trees):
+            some = rng.permutation(cut)[: max(4, int(cut * rows))] if rows < 1 else np.arange(cut)
+            tree = Tree(x[some], (y[:cut] - fit)[some], depth, leaf, max(1, int(x.shape[1] * columns)), rng, leaves, ridge=ridge)
             self.trees.append(tree)
             fit = fit + rate * tree.predict(x[:cut])
             if cut < len(y):
-                held = held + rate * tree.predict(x[cut:])
-                loss = float(np.mean((y[cut:] - held) ** 2))
-                best, since = (loss, 0) if loss < best else (best, since + 1)
+                ahead = ahead + rate * tree.predict(x[cut:])
+                loss = float(np.mean((y[cut:] - ahead) ** 2))
+                best, since, kept = (loss, 0, i + 1) if loss < best else (best, since + 1, kept)
                 if since >= stop:
                     break
+        if cut < len(y):
+            self.trees = self.trees[:kept]
 
     def predict(self, x):
-        return self.start + self.rate * sum(t.predict(x) for t in self.trees)
+        return self.start + self.rate * sum((t.predict(x) for t in self.trees), np.zeros(len(x)))
+
+    def shapley(self, x):
+        return self.rate * sum((t.shapley(x) for t in self.trees), np.zeros(x.shape))
 
     @property
     def importance(self):
-        return sum(t.gain for t in self.trees)
+        return sum((t.gain for t in self.trees), 0.0)
 
 
 LEARNERS = {"rf": Forest, "lgbm": Boosting}
 
 
-def permutation_effect(model, x: np.ndarray, y: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Mean absolute change of the prediction when a column is shuffled: a labelled
-    substitute for Shapley shares."""
-    rng, base = np.random.default_rng(seed), model.predict(x)
-    out = np.zeros(x.shape[1])
-    for j in range(x.shape[1]):
-        z = x.copy()
-        z[:, j] = rng.permutation(z[:, j])
-        out[j] = np.abs(model.predict(z) - base).mean()
-    return out
+def shapley_shares(model, x: np.ndarray) -> np.ndarray:
+    """Mean absolute Shapley value of each column, as shares of their sum."""
+    effect = np.abs(model.shapley(x)).mean(0)
+    return effect / effect.sum() if effect.sum() > 0 else effect
+
+
+def composite_loss(actual: np.ndarray, predicted: np.ndarray, baseline: float, weight: float = 0.0, mode: str = "mom") -> float:
+    """MAPE over non-zero actuals plus weight times the share of wrong directions in
+    percent (50 where there is none); directions from step to step or from the baseline."""
+    if mode not in ("mom", "absolute"):
+        raise ValueError(f"mode is 'mom' or 'absolute', not {mode!r}")
+    some = actual != 0
+    if not some.any():
+        return math.inf
+    mape = float(np.mean(np.abs((actual[some] - predicted[some]) / actual[some])) * 100)
+    if weight == 0:
+        return mape
+    moves = lambda v: np.sign(np.diff(v, prepend=baseline) if mode == "mom" else v - baseline)
+    return mape + weight * float((1 - np.mean(moves(actual) == moves(predicted))) * 100)
 
 
 def markov_switching(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
     """Autoregression of returns whose constant (and variance) switches: EM over Hamilton's filter."""
-    k, p = params.get("regimes", 2), params.get("order", 1)
+    k, p, drift = params.get("regimes", 2), params.get("order", 1), params.get("trend", "c") == "c"
     if (y <= 0).any():
         r, back = np.diff(y), lambda f: y[-1] + np.cumsum(f)
     else:
@@ -487,8 +598,10 @@ def markov_switching(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
     x = np.column_stack([r[rows - i] for i in range(1, p + 1)])
     t = r[rows]
     beta = np.linalg.lstsq(np.column_stack([np.ones(len(t)), x]), t, rcond=None)[0]
-    const, phi = np.quantile(t - x @ beta[1:], (np.arange(k) + 0.5) / k), beta[1:]
-    var, move = np.full(k, t.var() + 1e-12), np.full((k, k), 0.1 / max(1, k - 1)) + np.eye(k) * (0.9 - 0.1 / max(1, k - 1))
+    # without a trend, regimes differ by their variance alone
+    const, phi = np.quantile(t - x @ beta[1:], (np.arange(k) + 0.5) / k) * drift, beta[1:]
+    var, move = (t.var() + 1e-12) * (np.ones(k) if drift else np.linspace(0.5, 1.5, k)), np.full((k, k), 0.1 / max(1, k - 1)) + np.eye(k) * (0.9 - 0.1 / max(1, k - 1))
+    before = -math.inf
     for _ in range(30):
         dens = np.exp(-0.5 * (t[:, None] - const - (x @ phi)[:, None]) ** 2 / var) / np.sqrt(2 * np.pi * var) + 1e-300
         filt, ahead = np.empty((len(t), k)), np.empty((len(t), k))
@@ -497,6 +610,10 @@ def markov_switching(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
             ahead[i] = state @ move
             state = ahead[i] * dens[i]
             state = filt[i] = state / state.sum()
+        like = float(np.log((ahead * dens).sum(1)).sum())
+        if like - before < 1e-3:
+            break
+        before = like
         smooth, joint = filt.copy(), np.zeros((k, k))
         for i in range(len(t) - 2, -1, -1):
             pair = filt[i][:, None] * move * (smooth[i + 1] / ahead[i + 1])[None]
@@ -504,7 +621,7 @@ def markov_switching(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
             smooth[i] = pair.sum(1)
         move = joint / np.maximum(joint.sum(1, keepdims=True), 1e-12)
         weight = smooth.sum(0)
-        const = (smooth * (t - x @ phi)[:, None]).sum(0) / np.maximum(weight, 1e-9)
+        const = (smooth * (t - x @ phi)[:, None]).sum(0) / np.maximum(weight, 1e-9) * drift
         phi = np.linalg.lstsq(x, t - smooth @ const, rcond=None)[0]
         square = (t[:, None] - const - (x @ phi)[:, None]) ** 2
         var = np.maximum((smooth * square).sum(0) / np.maximum(weight, 1e-9) if params.get("switching_variance") else np.full(k, (smooth * square).sum() / len(t)), 1e-10)
@@ -518,17 +635,39 @@ def markov_switching(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
     return back(np.array(out))
 
 
-def garch_variance(e: np.ndarray, steps: int) -> np.ndarray:
-    """Variance path of GARCH(1,1) with the best of a small grid of parameters; diagnostic only."""
+def garch_variance(e: np.ndarray, steps: int, p: int = 1, q: int = 1) -> np.ndarray:
+    """Variance path of GARCH(p, q): p lags of the variance, q of squared residuals,
+    with the likeliest of a grid of total weights that are dealt to the lags as 1, 1/2,
+    and the long-run variance at the residuals' own. Point forecasts do not use it."""
     total, best = float(np.var(e)) + 1e-12, None
-    for a, b in itertools.product((0.05, 0.1, 0.2), (0.6, 0.75, 0.88)):
-        h, like = total, 0.0
-        for v in e:
-            like += math.log(h) + v * v / h
-            h = total * (1 - a - b) + a * v * v + b * h
+    deal = lambda n: (1 / np.arange(1, n + 1)) / (1 / np.arange(1, n + 1)).sum()
+    square, wide = e**2, max(p, q)
+    for a, b in itertools.product((0.03, 0.08, 0.15, 0.3), (0.4, 0.6, 0.75, 0.85, 0.92)):
+        if a + b >= 0.99:
+            continue
+        news, memory, h = a * deal(q), b * deal(p), [total] * wide
+        seen = [total] * wide + square.tolist()
+        for t in range(wide, len(seen)):
+            h.append(total * (1 - a - b) + float(news @ seen[t - 1 : t - 1 - q : -1] if t > q else news @ seen[t - 1 :: -1][:q]) + float(memory @ h[-1 : -1 - p : -1]))
+        variance = np.array(h[wide:])
+        like = float((np.log(variance) + square / variance).sum())
         if best is None or like < best[0]:
-            best = (like, h, a + b)
-    return total + (best[1] - total) * best[2] ** np.arange(steps)
+            best = (like, news, memory, h, seen, a + b)
+    _, news, memory, h, seen, keep = best
+    out = []
+    for _ in range(steps):
+        out.append(total * (1 - keep) + float(news @ seen[-1 : -1 - q : -1]) + float(memory @ h[-1 : -1 - p : -1]))
+        h.append(out[-1])
+        seen.append(out[-1])
+    return np.array(out)
+
+
+def arima_residuals(y: np.ndarray, params: dict) -> np.ndarray:
+    """One-step errors of a (seasonal) ARIMA on the differenced scale."""
+    s = params.get("s", 12)
+    w, _ = _difference(y, params["d"], params.get("D", 0), s)
+    ar, ma = _lags(params["p"], params.get("P", 0), s), _lags(params["q"], params.get("Q", 0), s)
+    return fit_arma(w, ar, ma)[1][max([*ar, *ma, 0]) :]
 
 
 def var_forecast(x: np.ndarray, params: dict, steps: int) -> np.ndarray:
@@ -546,25 +685,31 @@ def var_forecast(x: np.ndarray, params: dict, steps: int) -> np.ndarray:
 
 
 def vecm_forecast(x: np.ndarray, params: dict, steps: int) -> np.ndarray:
-    """Reduced-rank vector error correction of the Johansen rank; raises at rank 0."""
-    k = params.get("k_ar_diff", 1)
+    """Reduced-rank vector error correction of the Johansen rank; raises at rank 0.
+    deterministic: n none, co a constant outside the cointegration relation, ci inside,
+    lo and li a linear trend (with a constant) outside and inside."""
+    k, kind = params.get("k_ar_diff", 1), params.get("deterministic", "co")
     rank = min(johansen(x, 1)[2], x.shape[1] - 1)
     if rank < 1:
         raise ValueError("no cointegration")
     dx = np.diff(x, axis=0)
     rows = np.arange(k, len(dx))
-    z = np.column_stack([np.ones(len(rows)), *(dx[rows - i] for i in range(1, k + 1))])
+    clock = lambda t: np.asarray(t, float)[:, None]
+    outside = lambda t: np.column_stack([np.zeros((len(t), 0)), *([np.ones(len(t))] if kind in ("co", "lo", "li") else []), *([clock(t)] if kind == "lo" else [])])
+    inside = lambda t: np.column_stack([np.zeros((len(t), 0)), *([np.ones(len(t))] if kind == "ci" else []), *([clock(t)] if kind == "li" else [])])
+    z = np.column_stack([outside(rows), *(dx[rows - i] for i in range(1, k + 1))])
     if len(rows) <= z.shape[1] + rank:
         raise ValueError("too short for this order")
-    level = x[rows]
+    level = np.column_stack([x[rows], inside(rows)])
     r0, r1 = (m - z @ np.linalg.lstsq(z, m, rcond=None)[0] for m in (dx[rows], level))
     s00, s11, s01 = r0.T @ r0, r1.T @ r1, r0.T @ r1
     values, vectors = np.linalg.eig(np.linalg.pinv(s11) @ s01.T @ np.linalg.pinv(s00) @ s01)
     beta = np.real(vectors[:, np.argsort(-np.real(values))[:rank]])
     coef = np.linalg.lstsq(np.column_stack([level @ beta, z]), dx[rows], rcond=None)[0]
     past, moves, top = [*x], [*dx], 5 * np.abs(dx).max(0)
-    for _ in range(steps):
-        step = np.concatenate([past[-1] @ beta, [1.0], *(moves[-i] for i in range(1, k + 1))]) @ coef
+    for h in range(steps):
+        now = np.array([len(dx) + h])
+        step = np.concatenate([np.concatenate([past[-1], inside(now)[0]]) @ beta, outside(now)[0], *(moves[-i] for i in range(1, k + 1))]) @ coef
         moves.append(np.clip(step, -top, top))
         past.append(past[-1] + moves[-1])
     return np.array(past[len(x) :])[:, 0]

@@ -70,10 +70,12 @@ def vintage_matrix(detail: DataFrame, prices: DataFrame, windows: list[int]) ->
 
 
 def search_best(trials: DataFrame) -> DataFrame:
-    """The parameter set with the least mean error over windows, ties to the first.
-    trials: series_id, technique, trial, params, window_no, error."""
-    mean = trials.where("error is not null").groupBy("series_id", "technique", "trial", "params").agg(F.avg("error").alias("loss"))
-    place = F.row_number().over(Window.partitionBy("series_id", "technique").orderBy(round_to("loss", 9), "trial"))
+    """The parameter set with the least mean error over windows, ties to the first, for
+    each step where there is such a column.
+    trials: series_id, technique, [step,] trial, params, window_no, error."""
+    key = ["series_id", "technique", *(["step"] if "step" in trials.columns else [])]
+    mean = trials.where("error is not null").groupBy(*key, "trial", "params").agg(F.avg("error").alias("loss"))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(round_to("loss", 9), "trial"))
     return mean.withColumn("place", place).where("place = 1").drop("place")
 
 

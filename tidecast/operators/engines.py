@@ -9,7 +9,9 @@ never stops the rest. Results hold only forecasts; metrics are relational.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -17,40 +19,212 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
-from ..functions.feature_rows import CALENDAR, feature_matrix, feature_row
+from ..functions.feature_rows import CALENDAR, feature_matrix, feature_row, warmup
+from ..plans.spaces import trials
 from .backtest import search_best
 from .features import feature_table, safe_features
 
-# Least number of training rows.
-MIN_TRAIN = {"arima": 15, "sarima": 24, "ets": 24, "rf": 20, "lgbm": 20, "markov_switching": 30, "arima_garch": 30, "sarima_garch": 30, "arimax": 12, "sarimax": 12, "var": 24, "vecm": 24, "rf_ext": 5, "lgbm_ext": 5}
-RECURSIVE, DIRECT, EXOGENOUS, JOINT = ("rf", "lgbm"), ("rf_ext", "lgbm_ext"), ("arimax", "sarimax"), ("var", "vecm")
+PERIOD_MONTHS = {"monthly": 1, "quarterly": 3}
 
 
-def _arima_grid(top: int = 5) -> list[dict]:
-    return [{"p": p, "d": d, "q": q} for p in (1, 2, 3) for d in (0, 1, 2) for q in (0, 1, 2, 3) if p + d + q <= top]
+@dataclass(frozen=True)
+class History:
+    """What is known of a series at a window's end. names are the engineered features
+    that its models may use (None: all)."""
 
+    y: np.ndarray
+    years: np.ndarray
+    months: np.ndarray
+    drivers: np.ndarray
+    frequency: str = "monthly"
+    names: tuple[str, ...] | None = None
+    orders: dict | None = None
 
-def _sarima_grid() -> list[dict]:
-    out = [{"p": p, "d": d, "q": q, "P": a, "D": b, "Q": c, "s": 12} for p in (1, 2) for d in (0, 1) for q in (0, 1) for a in (1, 2) for b in (0, 1) for c in (0, 1)]
-    return [o for o in out if o["p"] + o["d"] + o["q"] <= 5 and o["P"] + o["D"] + o["Q"] <= 5 and not (o["d"] == 2 and o["D"] == 1)]
+    @property
+    def season(self) -> int:
+        return 12 // PERIOD_MONTHS[self.frequency]
 
+    def first(self, n: int) -> History:
+        return replace(self, y=self.y[:n], years=self.years[:n], months=self.months[:n], drivers=self.drivers[:n])
 
-# Deterministic grids stand in for sampled searches; invalid sets never enter them.
-GRIDS: dict[str, list[dict]] = {
-    "arima": _arima_grid(), "arima_garch": _arima_grid(), "sarima": _sarima_grid(), "sarima_garch": _sarima_grid(),
-    "ets": [{"trend": t, "seasonal": s, "damped": d, "s": 12} for t in (None, "add", "mul") for s in (None, "add", "mul") for d in (False, True) if t or not d],
-    "rf": [{"trees": 40, "depth": d, "leaf": l} for d in (4, 8) for l in (2, 5)],
-    "lgbm": [{"trees": 80, "depth": d, "rate": r, "leaf": 3, "stop": 20} for d in (2, 3) for r in (0.05, 0.1)],
-    "markov_switching": [{"regimes": k, "order": p, "switching_variance": v} for k in (2, 3) for p in (1, 2, 3, 4) for v in (False, True)],
-    "arimax": [{"s": 1}], "sarimax": [{"s": 12}],
-    "var": [{"lags": p} for p in range(1, 7)], "vecm": [{"k_ar_diff": k} for k in range(1, 7)],
-    "rf_ext": [{"trees": 30, "depth": d, "leaf": 2} for d in (4, 8)], "lgbm_ext": [{"trees": 40, "depth": 3, "rate": r, "leaf": 3} for r in (0.05, 0.1)],
+    def when(self, step: int) -> tuple[int, int]:
+        """Year and month of a period after the last."""
+        at = int(self.years[-1]) * 12 + int(self.months[-1]) - 1 + step * PERIOD_MONTHS[self.frequency]
+        return at // 12, at % 12 + 1
+
+    def features(self) -> list[str]:
+        every = [n for n, _, _ in feature_table(self.frequency)]
+        return every if self.names is None else [n for n in every if n in set(self.names)]
+
+
+Fit = Callable[[History, dict, int], np.ndarray]
+
+
+@dataclass(frozen=True)
+class Technique:
+    """fit gives forecasts 1..steps after a history's end. search tells how parameter
+    sets are compared: "held" refits without the last rows and forecasts them, "rows"
+    predicts the last rows from their own features, "steps" searches for each step."""
+
+    fit: Fit
+    min_train: int
+    search: str = "held"
+
+
+def _columns(h: History, matrix: np.ndarray) -> np.ndarray:
+    keep = set(h.features())
+    return matrix[:, [i for i, (n, _, _) in enumerate(feature_table(h.frequency)) if n in keep]]
+
+
+def _learner(technique: str, params: dict, x, y, held: int = 0):
+    return K.LEARNERS[technique](x, y, **params, held=held)
+
+
+def _recursive(technique: str) -> Fit:
+    def fit(h: History, params: dict, steps: int) -> np.ndarray:
+        x, target = _columns(h, feature_matrix(h.y, h.years, h.months, h.frequency)), h.y[warmup(h.frequency) :]
+        model = _learner(technique, params, x, target, params.get("held", 3))
+        past, when, out = list(h.y), list(h.months), []
+        for step in range(1, steps + 1):
+            year, month = h.when(step)
+            f = feature_row(np.array(past), np.array(when), year, month, int(h.years[0]), h.frequency)
+            out.append(float(model.predict(np.array([[f[n] for n in h.features()]]))[0]))
+            past.append(out[-1])
+            when.append(month)
+        return np.array(out)
+
+    return fit
+
+
+def held_out_rows(technique: str, h: History, params: dict, held: int) -> float:
+    """MAPE on the last rows from their own features, fitted on the rows before them;
+    these rows stop boosting, too."""
+    x, target = _columns(h, feature_matrix(h.y, h.years, h.months, h.frequency)), h.y[warmup(h.frequency) :]
+    if len(target) - held < 10:
+        raise ValueError("fewer than 10 rows to learn from")
+    rows = len(target) if technique == "lgbm" else len(target) - held
+    made = _learner(technique, params, x[:rows], target[:rows], held).predict(x[-held:])
+    some = target[-held:] != 0
+    return float(np.mean(np.abs((target[-held:] - made)[some] / target[-held:][some])) * 100)
+
+
+EXPANDING = ("expanding_mean", "expanding_std", "price_to_expanding_mean", "seasonal_index")
+
+
+class DirectRows:
+    """Training rows and the row to predict for each step of a direct model: labels lie in
+    the past, features are safe at the step, drivers are frozen at the last known row."""
+
+    def __init__(self, h: History):
+        self.h, self.matrix = h, feature_matrix(h.y, h.years, h.months, h.frequency)
+        self.every, self.own = [n for n, _, _ in feature_table(h.frequency)], set(h.features())
+
+    def at(self, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h, first = self.h, warmup(self.h.frequency)
+        safe = set(safe_features(step, h.frequency)) & self.own
+        keep = [i for i, n in enumerate(self.every) if n in safe]
+        x = np.column_stack([self.matrix[: len(self.matrix) - step][:, keep], h.drivers[first : len(h.y) - step]])
+        target = h.y[first + step :]
+        ok = ~np.isnan(x).any(1)
+        if ok.sum() < 5:
+            raise ValueError("too few complete rows")
+        row, (year, month) = self.matrix[-1].copy(), h.when(step)
+        now = feature_row(h.y, h.months, year, month, int(h.years[0]), h.frequency)
+        for i, n in enumerate(self.every):
+            if n in CALENDAR or n in EXPANDING:
+                row[i] = now[n]
+        known = h.drivers[~np.isnan(h.drivers).any(1)]
+        return x[ok], target[ok], np.concatenate([row[keep], known[-1]])[None]
+
+
+def _direct(technique: str) -> Fit:
+    def fit(h: History, params: dict, steps: int) -> np.ndarray:
+        _with_drivers(h)
+        rows, by = DirectRows(h), params.get("by_step", {})
+        out = []
+        for step in range(1, steps + 1):
+            if by and str(step) not in by and "or" not in params:
+                out.append(np.nan)  # a step that was not searched for
+                continue
+            x, y, row = rows.at(step)
+            own = by.get(str(step), params.get("or", params) if by else params)
+            out.append(float(_learner(technique, own, x, y).predict(row)[0]))
+        return np.array(out)
+
+    return fit
+
+
+def _with_drivers(h: History) -> None:
+    if not h.drivers.shape[1]:
+        raise ValueError("this technique needs drivers")
+
+
+def _project(x: np.ndarray, steps: int, season: int) -> np.ndarray:
+    return np.column_stack([K.project_driver(c[~np.isnan(c)], steps, season)[0] if (~np.isnan(c)).any() else np.full(steps, np.nan) for c in x.T])
+
+
+def _exogenous(h: History, params: dict, steps: int) -> np.ndarray:
+    _with_drivers(h)
+    ok = ~np.isnan(h.drivers).any(1)
+    if ok.sum() < 12:
+        raise ValueError("too few rows with drivers")
+    s = h.season if params.get("seasonal") else 1
+    order = {k: v for k, v in params.items() if k != "seasonal"}
+    return K.arimax(h.y[ok], {**order, "s": s}, steps, h.drivers[ok], _project(h.drivers, steps, h.season))
+
+
+def _joint(forecast) -> Fit:
+    def fit(h: History, params: dict, steps: int) -> np.ndarray:
+        _with_drivers(h)
+        ok = ~np.isnan(h.drivers).any(1)
+        frame = np.column_stack([h.y[ok], h.drivers[ok]])
+        return forecast(frame[:, [True, *(np.ptp(frame[:, 1:], axis=0) > 0)]], params, steps)
+
+    return fit
+
+
+def _arima(h: History, params: dict, steps: int) -> np.ndarray:
+    return K.arima(h.y, {**params, "s": h.season}, steps)
+
+
+def _ets(h: History, params: dict, steps: int) -> np.ndarray:
+    return K.ets(h.y, {**params, "s": h.season}, steps)
+
+
+def _markov(h: History, params: dict, steps: int) -> np.ndarray:
+    return K.markov_switching(h.y, params, steps)
+
+
+# The least number of training rows of each technique.
+TECHNIQUES: dict[str, Technique] = {
+    "arima": Technique(_arima, 15), "sarima": Technique(_arima, 24), "ets": Technique(_ets, 24), "markov_switching": Technique(_markov, 30),
+    "rf": Technique(_recursive("rf"), 20, "rows"), "lgbm": Technique(_recursive("lgbm"), 20, "rows"), "arima_garch": Technique(_arima, 30), "sarima_garch": Technique(_arima, 30),
+    "arimax": Technique(_exogenous, 12), "sarimax": Technique(_exogenous, 12), "var": Technique(_joint(K.var_forecast), 24), "vecm": Technique(_joint(K.vecm_forecast), 24),
+    "rf_ext": Technique(_direct("rf"), 5, "steps"), "lgbm_ext": Technique(_direct("lgbm"), 5, "steps"),
 }
 
 
-def histories(prices: DataFrame, drivers: DataFrame | None = None) -> DataFrame:
-    """(series_id, ds, price, names, drivers): a series' months as sorted arrays; drivers
-    holds one array a month with a value for each name, in order of names."""
+def register(name: str, technique: Technique) -> None:
+    """Adds a technique, or puts another in the place of one; tasks carry the table of
+    techniques with them, so executors know it, too."""
+    TECHNIQUES[name] = technique
+
+
+def fit_forecast(technique: str, params: dict, h: History, steps: int, known: dict[str, Technique] | None = None) -> np.ndarray:
+    """Forecasts 1..steps after the end of a history."""
+    t = (known or TECHNIQUES).get(technique)
+    if t is None:
+        raise ValueError(f"no technique {technique!r}")
+    if len(h.y) < t.min_train:
+        raise ValueError(f"{technique} needs {t.min_train} rows, has {len(h.y)}")
+    return t.fit(h, params, steps)
+
+
+def histories(prices: DataFrame, drivers: DataFrame | None = None, features: DataFrame | None = None) -> DataFrame:
+    """(series_id, names, features, ds, price, drivers): a series' periods as sorted arrays;
+    drivers holds one array a period with a value for each name, in order of names.
+    features: (series_id, name) of the engineered features that models may use; null
+    features stand for all."""
     rows = prices.where("price is not null").select("series_id", "ds", "price")
     if drivers is None:
         rows = rows.withColumn("values", F.array().cast("array<double>"))
@@ -60,166 +234,171 @@ def histories(prices: DataFrame, drivers: DataFrame | None = None) -> DataFrame:
         wide = drivers.where("value is not null").groupBy("series_id", "ds").agg(F.map_from_entries(F.collect_list(F.struct("driver", "value"))).alias("m"))
         rows = rows.join(wide, ["series_id", "ds"], "left").join(names, "series_id").withColumn("values", F.transform("names", lambda n: F.coalesce(F.col("m")[n], F.lit(float("nan")))))
     packed = rows.groupBy("series_id").agg(F.sort_array(F.collect_list(F.struct("ds", "price", "values"))).alias("h"))
-    return packed.join(names, "series_id").select("series_id", "names", F.col("h.ds").alias("ds"), F.col("h.price").alias("price"), F.col("h.values").alias("drivers"))
+    packed = packed.join(names, "series_id")
+    if features is None:
+        packed = packed.withColumn("features", F.lit(None).cast("array<string>"))
+    else:
+        packed = packed.join(features.groupBy("series_id").agg(F.sort_array(F.collect_set("name")).alias("features")), "series_id", "left")
+    return packed.select("series_id", "names", "features", F.col("h.ds").alias("ds"), F.col("h.price").alias("price"), F.col("h.values").alias("drivers"))
 
 
 def task_table(history: DataFrame, windows: DataFrame, grids: DataFrame, partitions: int | None = None) -> DataFrame:
-    """One row for each series, window and grid row (technique, trial, params)."""
+    """One row for each series, window and grid row (technique, trial, params). The grid is
+    a list of the driver's own, of a size that the search spaces fix."""
     tasks = windows.select("series_id", "window_no", "train_end").crossJoin(F.broadcast(grids)) if "series_id" not in grids.columns else windows.select("series_id", "window_no", "train_end").join(grids, "series_id")
-    tasks = tasks.join(history, "series_id")
     n = partitions or int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return tasks.repartition(n, "series_id", "technique", "window_no", "trial")
+    # small rows are dealt to tasks, then meet their history
+    return tasks.repartition(n, "series_id", "technique", "window_no", "trial").join(history, "series_id")
 
 
-def trials(technique: str, limit: int | None = None) -> list[dict]:
-    """The parameter sets that a search tries."""
-    return GRIDS[technique][:limit]
-
-
-def grid_frame(spark, techniques: list[str], limit: int | None = None) -> DataFrame:
-    rows = [(t, i, json.dumps(p, sort_keys=True)) for t in techniques for i, p in enumerate(trials(t, limit))]
+def grid_frame(spark, techniques: list[str], limit: int | None = None, long: bool = False) -> DataFrame:
+    rows = [(t, i, json.dumps(p, sort_keys=True)) for t in techniques for i, p in enumerate(trials(t, limit, long))]
     return spark.createDataFrame(rows, "technique string, trial int, params string")
 
 
-def _shift(year: int, month: int, k: int) -> tuple[int, int]:
-    at = year * 12 + month - 1 + k
-    return at // 12, at % 12 + 1
-
-
-def _recursive(y, years, months, technique, params, steps):
-    x, target = feature_matrix(y, years, months), y[13:]
-    model = K.LEARNERS[technique](x, target, **params)
-    names = [n for n, _, _ in feature_table()]
-    past, when, out = list(y), list(months), []
-    for h in range(1, steps + 1):
-        year, month = _shift(int(years[-1]), int(months[-1]), h)
-        f = feature_row(np.array(past), np.array(when), year, month, int(years[0]))
-        out.append(float(model.predict(np.array([[f[n] for n in names]]))[0]))
-        past.append(out[-1])
-        when.append(month)
-    return np.array(out)
-
-
-def _direct(y, years, months, drivers, technique, params, steps):
-    """One model a step h, trained on rows whose label lies in the past, with features
-    safe at h; drivers frozen at the last known row."""
-    names, matrix = [n for n, _, _ in feature_table()], feature_matrix(y, years, months)
-    out = []
-    for h in range(1, steps + 1):
-        keep = [i for i, n in enumerate(names) if n in set(safe_features(h))]
-        x = np.column_stack([matrix[: len(matrix) - h][:, keep], drivers[13 : len(y) - h]])
-        target = y[13 + h :]
-        ok = ~np.isnan(x).any(1)
-        if ok.sum() < 5:
-            raise ValueError("too few complete rows")
-        model = K.LEARNERS[technique.removesuffix("_ext")](x[ok], target[ok], **params)
-        row = matrix[-1].copy()
-        year, month = _shift(int(years[-1]), int(months[-1]), h)
-        now = feature_row(y, months, year, month, int(years[0]))
-        for i, n in enumerate(names):
-            if n in CALENDAR or n in ("expanding_mean", "expanding_std", "price_to_expanding_mean", "seasonal_index"):
-                row[i] = now[n]
-        known = drivers[~np.isnan(drivers).any(1)]
-        out.append(float(model.predict(np.concatenate([row[keep], known[-1]])[None])[0]))
-    return np.array(out)
-
-
-def _project(x: np.ndarray, steps: int) -> np.ndarray:
-    return np.column_stack([K.project_driver(c[~np.isnan(c)], steps)[0] if (~np.isnan(c)).any() else np.full(steps, np.nan) for c in x.T])
-
-
-def fit_forecast(technique: str, params: dict, y, years, months, drivers, steps: int) -> np.ndarray:
-    """Forecasts 1..steps after the end of y."""
-    if len(y) < MIN_TRAIN.get(technique, 5):
-        raise ValueError(f"{technique} needs {MIN_TRAIN[technique]} rows, has {len(y)}")
-    base = technique.removesuffix("_garch")
-    if base in ("arima", "sarima"):
-        return K.arima(y, params, steps)
-    if technique == "ets":
-        return K.ets(y, params, steps)
-    if technique == "markov_switching":
-        return K.markov_switching(y, params, steps)
-    if technique in RECURSIVE:
-        return _recursive(y, years, months, technique, params, steps)
-    if not drivers.shape[1]:
-        raise ValueError(f"{technique} needs drivers")
-    if technique in DIRECT:
-        return _direct(y, years, months, drivers, technique, params, steps)
-    ok = ~np.isnan(drivers).any(1)
-    if technique in EXOGENOUS:
-        if ok.sum() < MIN_TRAIN[technique]:
-            raise ValueError("too few rows with drivers")
-        return K.arimax(y[ok], params, steps, drivers[ok], _project(drivers, steps))
-    if technique in JOINT:
-        frame = np.column_stack([y[ok], drivers[ok]])
-        frame = frame[:, [True, *(np.ptp(frame[:, 1:], axis=0) > 0)]]
-        return (K.var_forecast if technique == "var" else K.vecm_forecast)(frame, params, steps)
-    raise ValueError(f"no technique {technique!r}")
-
-
-def _rows(batches: Iterator[pd.DataFrame]):
+def _tasks(batches: Iterator[pd.DataFrame], frequency: str):
+    """(task, history up to the window's end, all prices of the series)."""
     for batch in batches:
         for task in batch.itertuples(index=False):
             ds = pd.to_datetime(pd.Series(list(task.ds)))
             n = int((ds <= pd.Timestamp(task.train_end)).sum())
-            y = np.asarray(task.price, float)[:n]
             drivers = np.array([np.asarray(v, float) for v in task.drivers[:n]]).reshape(n, -1)
             if task.seed >= 0 and drivers.shape[1]:
                 rng = np.random.default_rng(task.seed)
                 drivers = np.column_stack([rng.permutation(c) for c in drivers.T])
-            yield task, y, ds.dt.year.to_numpy()[:n], ds.dt.month.to_numpy()[:n], drivers
-
-
-def run_search(tasks: DataFrame, held_out: int) -> DataFrame:
-    """(series_id, technique, trial, params, window_no, error): MAPE on the last
-    held_out rows of each training set, fitted without them."""
+            names = None if task.features is None else tuple(task.features)
+            yield task, History(np.asarray(task.price, float)[:n], ds.dt.year.to_numpy()[:n], ds.dt.month.to_numpy()[:n], drivers, frequency, names), ds, np.asarray(task.price, float)
+
+
+def _search_losses(t: Technique, task, h: History, ds: pd.Series, price: np.ndarray, held_out: int, steps: tuple[int, int], weight: float, mode: str):
+    """(step, loss) pairs of one parameter set on one window; step 0 stands for all steps."""
+    params = json.loads(task.params)
+    if t.search == "rows":
+        yield 0, held_out_rows(task.technique, h, params, held_out)
+    elif t.search == "held":
+        cut = len(h.y) - held_out
+        if cut < t.min_train:
+            raise ValueError("too few rows")
+        f = t.fit(h.first(cut), params, held_out)
+        some = h.y[cut:] != 0
+        yield 0, float(np.mean(np.abs((h.y[cut:] - f)[some] / h.y[cut:][some])) * 100)
+    else:
+        _with_drivers(h)
+        rows, learner = DirectRows(h), task.technique.removesuffix("_ext")
+        for step in range(steps[0], steps[1] + 1):
+            due = pd.Timestamp(task.train_end) + pd.DateOffset(months=step * PERIOD_MONTHS[h.frequency])
+            at = np.flatnonzero((ds == due).to_numpy())
+            if len(at):
+                x, y, row = rows.at(step)
+                f = _learner(learner, params, x, y).predict(row)
+                yield step, K.composite_loss(price[at], f, float(h.y[-1 - step] if len(h.y) > step else h.y[0]), weight, mode)
+
+
+def run_search(tasks: DataFrame, held_out: int, steps: tuple[int, int] = (1, 18), frequency: str = "monthly", da_weight: float = 0.0, da_mode: str = "mom") -> DataFrame:
+    """(series_id, technique, trial, params, window_no, step, error): the loss of each
+    parameter set on each window. Step 0 is the MAPE on the last held_out rows of a training
+    set; direct techniques have a row for each step instead, with the composite loss of the
+    forecast that falls on it. Sets that can't be fitted have a null error."""
+    known = dict(TECHNIQUES)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for task, y, years, months, drivers in _rows(batches):
-            error = None
+        out: list[tuple] = []
+        columns = ["series_id", "technique", "trial", "params", "window_no", "step", "error"]
+        frame = lambda: pd.DataFrame(out, columns=columns).astype({"step": "int32", "error": "float64"})
+        for task, h, ds, price in _tasks(batches, frequency):
             try:
-                cut = len(y) - held_out
-                f = fit_forecast(task.technique, json.loads(task.params), y[:cut], years[:cut], months[:cut], drivers[:cut], held_out)
-                some = y[cut:] != 0
-                error = float(np.mean(np.abs((y[cut:] - f)[some] / y[cut:][some])) * 100)
+                found = list(_search_losses(known[task.technique], task, h, ds, price, held_out, steps, da_weight, da_mode))
             except Exception:  # one fit never stops the rest
-                pass
-            yield pd.DataFrame([(task.series_id, task.technique, task.trial, task.params, task.window_no, error if error is not None and np.isfinite(error) else None)], columns=["series_id", "technique", "trial", "params", "window_no", "error"]).astype({"error": "float64"})
+                found = [(0, None)]
+            out += [(task.series_id, task.technique, task.trial, task.params, task.window_no, step, e if e is not None and np.isfinite(e) else None) for step, e in found]
+            if len(out) >= 500:
+                yield frame()
+                out.clear()
+        if out:
+            yield frame()
 
-    return tasks.withColumn("seed", F.lit(-1)).mapInPandas(run, "series_id string, technique string, trial int, params string, window_no int, error double")
+    return tasks.withColumn("seed", F.lit(-1)).mapInPandas(run, "series_id string, technique string, trial int, params string, window_no int, step int, error double")
 
 
-def run_forecasts(tasks: DataFrame, steps: int) -> DataFrame:
-    """(series_id, technique, window_no, train_end, step, ds, predicted, seed, error). A
-    task with a seed of 0 or more has its training drivers shuffled by column."""
+def run_forecasts(tasks: DataFrame, steps: int, frequency: str = "monthly") -> DataFrame:
+    """(series_id, technique, window_no, train_end, step, ds, predicted, seed, error, seconds). A
+    task with a seed of 0 or more has its training drivers shuffled by column; seconds is
+    the time that the fit took, on each of its rows."""
     if "seed" not in tasks.columns:
         tasks = tasks.withColumn("seed", F.lit(-1))
+    known = dict(TECHNIQUES)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for task, y, years, months, drivers in _rows(batches):
-            error, f = None, [None]
+        out: list[tuple] = []
+        columns = ["series_id", "technique", "window_no", "train_end", "step", "predicted", "seed", "error", "seconds"]
+        for task, h, _, _ in _tasks(batches, frequency):
+            began, error, f = time.perf_counter(), None, [None]
             try:
-                f = fit_forecast(task.technique, json.loads(task.params), y, years, months, drivers, steps)
-                if not np.isfinite(f).all():
+                f = fit_forecast(task.technique, json.loads(task.params), h, steps, known)
+                if np.isinf(f).any() or np.isnan(f).all() or (np.isnan(f).any() and known[task.technique].search != "steps"):
                     error, f = "the forecast is not finite", [None]
             except Exception as e:  # one fit never stops the rest
                 error = f"{type(e).__name__}: {e}"
-            out = pd.DataFrame({"step": np.arange(1, len(f) + 1) if error is None else [0], "predicted": pd.array(list(f), "Float64").astype("float64")})
-            yield out.assign(series_id=task.series_id, technique=task.technique, window_no=task.window_no, train_end=task.train_end, seed=task.seed, error=error)[["series_id", "technique", "window_no", "train_end", "step", "predicted", "seed", "error"]]
-
-    made = tasks.mapInPandas(run, "series_id string, technique string, window_no int, train_end date, step int, predicted double, seed int, error string")
-    return made.withColumn("ds", F.add_months("train_end", F.col("step")))
+            took = time.perf_counter() - began
+            made = [(i + 1, float(v)) for i, v in enumerate(f) if not np.isnan(v)] if error is None else [(0, None)]
+            out += [(task.series_id, task.technique, task.window_no, task.train_end, step, v, task.seed, error, took) for step, v in made]
+            if len(out) >= 2000:
+                yield pd.DataFrame(out, columns=columns).astype({"predicted": "float64"})
+                out.clear()
+        if out:
+            yield pd.DataFrame(out, columns=columns).astype({"predicted": "float64"})
+
+    made = tasks.mapInPandas(run, "series_id string, technique string, window_no int, train_end date, step int, predicted double, seed int, error string, seconds double")
+    return made.withColumn("ds", F.add_months("train_end", F.col("step") * PERIOD_MONTHS[frequency]))
+
+
+def best_parameters(losses: DataFrame) -> DataFrame:
+    """(series_id, technique, trial, params, loss): one set for each series and technique, that
+    of least mean loss over windows. Techniques searched by step have the best set of
+    each step in one, under by_step, and the first step's beside them for steps that were
+    not searched for."""
+    best = search_best(losses)
+    whole = best.where("step = 0").select("series_id", "technique", "trial", "params", "loss")
+    inner = F.concat_ws(", ", F.transform(F.sort_array(F.collect_list(F.struct("step", "params"))), lambda x: F.concat(F.lit('"'), x["step"].cast("string"), F.lit('": '), x["params"])))
+    joined = F.concat(F.lit('{"by_step": {'), inner, F.lit('}, "or": '), F.min_by("params", "step"), F.lit("}"))
+    steps = best.where("step > 0").groupBy("series_id", "technique").agg(F.min("trial").alias("trial"), joined.alias("params"), F.avg("loss").alias("loss"))
+    return whole.unionByName(steps)
+
+
+def run_technique_set(
+    prices: DataFrame, windows: DataFrame, techniques: list[str], steps: int, drivers: DataFrame | None = None, grid_limit: int | None = None, held_out: int = 3, scratch=None,
+    features: DataFrame | None = None, frequency: str = "monthly", first: int = 1, fixed: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(forecasts, best parameters) of several techniques for steps first..steps: search,
+    one parameter set a series and technique (or one a step), then the forecasts with it.
+    fixed: (series_id, technique, trial, params) that are taken as they are, without a search."""
+    history = histories(prices, drivers, features)
+    best = fixed
+    if best is None:
+        grids = grid_frame(prices.sparkSession, techniques, grid_limit, first > 1)
+        losses = run_search(task_table(history, windows, grids), held_out, (first, steps), frequency)
+        best = best_parameters(scratch(losses) if scratch else losses)
+        best = scratch(best) if scratch else best
+    made = run_forecasts(task_table(history, windows, best.select("series_id", "technique", "trial", "params")), steps, frequency)
+    return made.where(F.col("error").isNotNull() | (F.col("step") >= first)), best
+
+
+def volatility_paths(prices: DataFrame, windows: DataFrame, best: DataFrame, steps: int = 18, frequency: str = "monthly") -> DataFrame:
+    """(series_id, technique, window_no, step, variance): the variance path that the GARCH part
+    of a technique gives for its residuals; a diagnostic beside the point forecasts."""
+    chosen = best.where(F.col("technique").endswith("_garch")).select("series_id", "technique", "trial", "params")
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for task, h, _, _ in _tasks(batches, frequency):
+            params = json.loads(task.params)
+            try:
+                v = K.garch_variance(K.arima_residuals(h.y, {**params, "s": h.season}), steps, params["garch_p"], params["garch_q"])
+            except Exception:  # one fit never stops the rest
+                continue
+            yield pd.DataFrame({"series_id": task.series_id, "technique": task.technique, "window_no": task.window_no, "step": np.arange(1, steps + 1, dtype="int32"), "variance": v})
 
-def run_technique_set(prices: DataFrame, windows: DataFrame, techniques: list[str], steps: int, drivers: DataFrame | None = None, grid_limit: int | None = None, held_out: int = 3, scratch=None) -> tuple[DataFrame, DataFrame]:
-    """(forecasts, best parameters) of several techniques: search over the grid, one
-    parameter set a series and technique, then the forecasts with it."""
-    history = histories(prices, drivers)
-    grids = grid_frame(prices.sparkSession, techniques, grid_limit)
-    best = search_best(run_search(task_table(history, windows, grids), held_out))
-    if scratch is not None:
-        best = scratch(best)
-    return run_forecasts(task_table(history, windows, best.select("series_id", "technique", "trial", "params")), steps), best
+    tasks = task_table(histories(prices), windows, chosen).withColumn("seed", F.lit(-1))
+    return tasks.mapInPandas(run, "series_id string, technique string, window_no int, step int, variance double")
 
 
 def stationarity(prices: DataFrame) -> DataFrame:
@@ -272,30 +451,55 @@ def driver_tests(prices: DataFrame, drivers: DataFrame) -> DataFrame:
     return histories(prices, drivers).mapInPandas(run, "series_id string, driver string, granger_f double, granger_p double, granger boolean, trace double, trace_95 double, johansen boolean")
 
 
-def importance(prices: DataFrame, drivers: DataFrame, seeds: int = 10, trees: int = 40) -> DataFrame:
-    """(series_id, driver, seed, rf, gbm, effect, rank_rf, rank_gbm): shares of split gain and of
-    permutation effect, one row for each driver and seed; fits run by (series, seed)."""
+def importance(prices: DataFrame, drivers: DataFrame, seeds: int = 10, trees: int = 200) -> DataFrame:
+    """(series_id, driver, seed, rf, gbm, effect, rank_rf, rank_gbm): shares of split gain for
+    each driver and seed, and of Shapley values (effect, of the first seed's two models,
+    else null); fits run by (series, seed). A series with fewer than 10 rows that hold
+    all drivers is an error of the search and has no rows."""
     history = histories(prices, drivers).withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(seeds - 1)))).repartition("series_id", "seed")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        share = lambda v: v / v.sum() if v.sum() > 0 else v
         for batch in batches:
             for row in batch.itertuples(index=False):
                 y, x = np.asarray(row.price, float), np.array([np.asarray(v, float) for v in row.drivers]).reshape(len(row.price), -1)
                 ok = ~np.isnan(x).any(1)
-                if ok.sum() < 10 or not x.shape[1]:
-                    continue
-                a, b = K.Forest(x[ok], y[ok], trees=trees, seed=row.seed), K.Boosting(x[ok], y[ok], trees=trees, seed=row.seed)
-                effect = (share(K.permutation_effect(a, x[ok], y[ok])) + share(K.permutation_effect(b, x[ok], y[ok]))) / 2
-                rank = lambda v: pd.Series(-v).rank(method="average").to_numpy()
-                rf, gbm = share(a.importance), share(b.importance)
-                yield pd.DataFrame({"series_id": row.series_id, "driver": list(row.names), "seed": row.seed, "rf": rf, "gbm": gbm, "effect": share(effect), "rank_rf": rank(rf), "rank_gbm": rank(gbm)})
+                if ok.sum() >= 10 and x.shape[1]:
+                    yield _shares(row.series_id, list(row.names), x[ok], y[ok], row.seed, trees, row.seed == 0).rename(columns={"name": "driver"})
 
     return history.mapInPandas(run, "series_id string, driver string, seed int, rf double, gbm double, effect double, rank_rf double, rank_gbm double")
 
 
+def _shares(series: str, names: list[str], x: np.ndarray, y: np.ndarray, seed: int, trees: int, shapley: bool) -> pd.DataFrame:
+    share = lambda v: v / v.sum() if np.sum(v) > 0 else np.zeros(x.shape[1])
+    rank = lambda v: pd.Series(-v).rank(method="average").to_numpy()
+    a, b = K.Forest(x, y, trees=trees, seed=seed), K.Boosting(x, y, trees=trees, seed=seed)
+    effect = share(K.shapley_shares(a, x) + K.shapley_shares(b, x)) if shapley else np.full(len(names), np.nan)
+    rf, gbm = share(a.importance), share(b.importance)
+    return pd.DataFrame({"series_id": series, "name": names, "seed": seed, "rf": rf, "gbm": gbm, "effect": pd.array([None if np.isnan(v) else v for v in effect], "Float64").astype("float64"), "rank_rf": rank(rf), "rank_gbm": rank(gbm)})
+
+
+def feature_importance(long: DataFrame, kept: DataFrame, seeds: int = 10, trees: int = 200) -> DataFrame:
+    """(series_id, name, score): mean of the normalised forest and boosting shares over the
+    seeds, of the kept features (series_id, name) alone. long: series_id, ds, price, name,
+    value on complete rows."""
+    rows = long.join(kept.select("series_id", "name"), ["series_id", "name"], "left_semi")
+    packed = rows.groupBy("series_id", "ds").agg(F.first("price").alias("price"), F.sort_array(F.collect_list(F.struct("name", "value"))).alias("v"))
+    packed = packed.groupBy("series_id").agg(F.sort_array(F.collect_list(F.struct("ds", "price", "v"))).alias("h"))
+    tasks = packed.select("series_id", F.col("h.price").alias("price"), F.col("h")[0]["v"]["name"].alias("names"), F.transform("h", lambda r: r["v"]["value"]).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(seeds - 1))).alias("seed")).repartition("series_id", "seed")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                x = np.array([np.asarray(v, float) for v in row.x])
+                yield _shares(row.series_id, list(row.names), x, np.asarray(row.price, float), row.seed, trees, False)[["series_id", "name", "seed", "rf", "gbm"]]
+
+    made = tasks.mapInPandas(run, "series_id string, name string, seed int, rf double, gbm double")
+    return made.groupBy("series_id", "name").agg(((F.avg("rf") + F.avg("gbm")) / 2).alias("score"))
+
+
 def combined_importance(rows: DataFrame) -> DataFrame:
-    """(series_id, name, rf, gbm, effect, score, stability) over seeds."""
+    """(series_id, name, rf, gbm, effect, score, stability) over seeds; effect is the share
+    of Shapley values."""
     spread = lambda c: F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1 - F.stddev_pop(c) / F.first("n")))
     n = rows.groupBy("series_id").agg(F.count_distinct("driver").alias("n"))
     out = rows.join(n, "series_id").groupBy("series_id", F.col("driver").alias("name")).agg(F.avg("rf").alias("rf"), F.avg("gbm").alias("gbm"), F.avg("effect").alias("effect"), ((spread("rank_rf") + spread("rank_gbm")) / 2).alias("stability"))

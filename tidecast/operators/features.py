@@ -104,3 +104,26 @@ def safe_features(step: int, frequency: str = "monthly") -> list[str]:
 def direct_target(features: DataFrame, step: int) -> DataFrame:
     """Adds target: the price `step` rows later (row based, after complete cases)."""
     return features.withColumn("target", F.lead("price", step).over(per_series()))
+
+
+def window_features(prices: DataFrame) -> DataFrame:
+    """(series_id, ds, price, month_sin, month_cos, year): the inputs of models that read
+    whole windows, the cyclic ones to six places."""
+    month_sin, month_cos = cyclic(F.month("ds"), 12)
+    return prices.select("series_id", "ds", "price", F.round(month_sin, 6).alias("month_sin"), F.round(month_cos, 6).alias("month_cos"), F.year("ds").alias("year"))
+
+
+def min_max(rows: DataFrame, columns: list[str], train_end: str | None = None, key: str = "series_id") -> DataFrame:
+    """Adds <column>_scaled, between 0 and 1 over the rows up to train_end (all, without it), and
+    <column>_low and <column>_range to undo it; columns that do not vary become 0."""
+    known = F.lit(True) if train_end is None else F.col("ds") <= F.lit(train_end).cast("date")
+    out = rows
+    for c in columns:
+        low, high = (fn(F.when(known, F.col(c))).over(Window.partitionBy(key)) for fn in (F.min, F.max))
+        out = out.withColumns({f"{c}_low": low, f"{c}_range": high - low})
+        out = out.withColumn(f"{c}_scaled", F.when(F.col(f"{c}_range") == 0, 0.0).otherwise((F.col(c) - F.col(f"{c}_low")) / F.col(f"{c}_range")))
+    return out
+
+
+def min_max_inverse(scaled: Column, low: Column, span: Column) -> Column:
+    return scaled * span + low

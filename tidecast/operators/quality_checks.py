@@ -126,3 +126,16 @@ def autocorrelation(prices: DataFrame, lags: int = 12, value: str = "price") ->
     joined = left.join(right, (left.series_id == right.series_id) & (F.col("other") == F.col("at") - F.col("lag"))).groupBy(left.series_id, "lag").agg(F.sum(F.col("x") * F.col("y")).alias("c"))
     total = F.max(F.when(F.col("lag") == 0, F.col("c"))).over(whole)
     return joined.select("series_id", "lag", F.when(total > 0, F.col("c") / total).alias("acf"))
+
+
+def density(prices: DataFrame, points: int = 100) -> DataFrame:
+    """(series_id, point, at, density): a Gaussian kernel estimate with Scott's bandwidth, at
+    evenly spaced places from the least to the largest price. Series whose prices do
+    not vary have none. The places are a fixed number, so each row meets that many."""
+    rows = prices.where("price is not null").select("series_id", "price")
+    range_of = rows.groupBy("series_id").agg(F.min("price").alias("low"), F.max("price").alias("high"), F.count("*").alias("n"), F.stddev_samp("price").alias("spread")).where("spread > 0")
+    places = range_of.select("*", (F.col("spread") * F.pow("n", F.lit(-0.2))).alias("width"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    places = places.withColumn("at", F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / (points - 1))
+    z = (F.col("at") - F.col("price")) / F.col("width")
+    total = F.sum(F.exp(-z * z / 2)) / (F.first("n") * F.first("width") * F.sqrt(F.lit(2 * 3.141592653589793)))
+    return rows.join(places, "series_id").groupBy("series_id", "point", "at").agg(total.alias("density"))

@@ -90,6 +90,9 @@ class Run:
     stability_runs: int = 10
     importance_trees: int = 200
     grid_limit: int | None = None
+    feature_share: float | None = 0.7  # of importance that engineered features are kept for; None keeps all
+    choose_drivers: bool = True  # the prerequisite pass of driver selection
+    buckets: tuple[str, ...] = BUCKETS
     scoring: Scoring = field(default_factory=Scoring)
     gate: Gate = field(default_factory=Gate)
 

@@ -8,6 +8,7 @@ doesn't show.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -728,19 +729,28 @@ def _fit_data(spark, sf_dir):
     return calendar.dense_grid(tables.fact_price(spark, sf_dir, TYPES)), tables.fact_driver(spark, sf_dir, TYPES)
 
 
-def _tried(spark, sf_dir, names, told=False):
+def _tried(spark, sf_dir, names, told=False, limit=None, n_windows=None):
+    """Every horizon's search over the technique's own number of parameter sets (or `limit`
+    of them) on all windows since the anchor, and its forecasts, evaluated."""
+    save = _save(spark)
     prices, raw = _fit_data(spark, sf_dir)
-    windows = calendar.backtest_windows(prices, ANCHOR, n_windows=3)
-    gated = pipeline.prepare_drivers(prices, raw)[1] if told else None
-    made, _ = engines.run_technique_set(prices, windows, names, 3, gated, 2)
-    return rounded(backtest.summarise(backtest.evaluate(made.where("error is null").drop("seed", "error"), prices, "short", 1, 3)), 4)
+    prices = save(prices)
+    windows = save(calendar.backtest_windows(prices, ANCHOR, n_windows=n_windows))
+    gated = save(pipeline.prepare_drivers(prices, raw)[1]) if told else None
+    made = []
+    for bucket in BUCKETS:
+        low, high = HORIZONS["monthly"][bucket]
+        made.append(engines.run_technique_set(prices, windows, names, high, gated, limit, high - low + 1, save, first=low)[0])
+    made = save(made[0].unionByName(made[1]).unionByName(made[2])).where("error is null").drop("seed", "error", "seconds")
+    return rounded(backtest.summarise(pipeline.details(made, prices)), 4)
 
 
-for _name, _members, _told in (
-    ("fit_arima_family", ["arima", "sarima", "arima_garch", "sarima_garch"], False), ("fit_ets", ["ets"], False), ("fit_trees", ["rf", "lgbm"], False), ("fit_markov", ["markov_switching"], False),
-    ("fit_arimax_family", ["arimax", "sarimax"], True), ("fit_var_vecm", ["var", "vecm"], True), ("fit_direct_trees", ["rf_ext", "lgbm_ext"], True),
+# Forests take seconds a fit in their whole spaces, so these two queries try fewer sets.
+for _name, _members, _told, _limit, _n in (
+    ("fit_arima_family", ["arima", "sarima", "arima_garch", "sarima_garch"], False, None, None), ("fit_ets", ["ets"], False, None, None), ("fit_trees", ["rf", "lgbm"], False, 2, 4), ("fit_markov", ["markov_switching"], False, None, None),
+    ("fit_arimax_family", ["arimax", "sarimax"], True, None, None), ("fit_var_vecm", ["var", "vecm"], True, None, None), ("fit_direct_trees", ["rf_ext", "lgbm_ext"], True, 1, 3),
 ):
-    query(_name)(lambda spark, sf_dir, m=_members, t=_told: _tried(spark, sf_dir, m, t))
+    query(_name)(lambda spark, sf_dir, m=_members, t=_told, k=_limit, n=_n: _tried(spark, sf_dir, m, t, k, n))
 
 
 @query("stationarity")
@@ -757,13 +767,14 @@ def driver_tests(spark, sf_dir):
 @query("driver_importance")
 def driver_importance(spark, sf_dir):
     prices, raw = _fit_data(spark, sf_dir)
-    return rounded(engines.combined_importance(engines.importance(prices, pipeline.prepare_drivers(prices, raw)[1], 3)))
+    gated = _save(spark)(pipeline.prepare_drivers(prices, raw)[1])
+    return rounded(engines.combined_importance(engines.importance(prices, gated)))
 
 
 @query("select_drivers")
 def select_drivers(spark, sf_dir):
     prices, raw = _fit_data(spark, sf_dir)
-    return pipeline.select_drivers(prices, raw, Run(stability_runs=2), min_corr=0.1, save=_save(spark))
+    return pipeline.select_drivers(prices, raw, Run(), save=_save(spark))
 
 
 @query("decomposition")
@@ -779,7 +790,7 @@ def partial_autocorrelation(spark, sf_dir):
 @query("project_drivers")
 def project_drivers(spark, sf_dir):
     prices, raw = _fit_data(spark, sf_dir)
-    return rounded(engines.project_drivers(raw, calendar.backtest_windows(prices, ANCHOR, n_windows=2)), 4)
+    return rounded(engines.project_drivers(raw, calendar.backtest_windows(prices, ANCHOR)), 4)
 
 
 ABLATION_SQL = f"""{SCORE_SQL}, m AS (SELECT series_id, technique, avg(mape) AS mape FROM summary WHERE horizon = 'long' AND months_evaluated > 0 GROUP BY 1, 2),
@@ -805,22 +816,44 @@ def permutation_test(spark, sf_dir):
     return rounded(gate.permutation(real, rows.select("series_id", "technique", F.col("window_no").alias("seed"), S.round_to("mape", 6).alias("mape"))))
 
 
+@query("feature_survival")
+def feature_survival(spark, sf_dir):
+    """Engineered features through both cuts, of series by part type."""
+    prices, _ = _fit_data(spark, sf_dir)
+    return rounded(pipeline.feature_survival(prices, Run(), None, _save(spark)))
+
+
 @query("run_batch")
 def run_batch(spark, sf_dir):
-    """The whole run in its fast form, with four techniques."""
+    """The whole run with the gate, over all windows, with the techniques that take less
+    than a second a fit; two shuffles and three sets a search in place of 30 and all."""
     prices, raw = _fit_data(spark, sf_dir)
-    out = pipeline.run_batch(prices, raw, Run(anchor=ANCHOR).fast(), ["arima", "ets", "var", "arimax"], _save(spark))
+    run = replace(Run(anchor=ANCHOR).fast(), n_windows=None, grid_limit=3)
+    out = pipeline.run_batch(_save(spark)(prices), _save(spark)(raw), run, ["arima", "sarima", "ets", "markov_switching", "arima_garch", "arimax", "sarimax", "var", "vecm"], _save(spark))
     return _flat(out["ranks"], "rank")
 
 
+def _registered(spark, sf_dir, techniques):
+    prices, raw = _fit_data(spark, sf_dir)
+    prices = _save(spark)(prices)
+    out = pipeline.run_batch(prices, raw, Run(anchor=ANCHOR).fast(), techniques, _save(spark))
+    return prices, out, pipeline.model_registry(out["ranks"], out["best"], prices, "2024-01-01")
+
+
 @query("registry_predictions")
 def registry_predictions(spark, sf_dir):
-    prices, raw = _fit_data(spark, sf_dir)
-    out = pipeline.run_batch(prices, None, Run(anchor=ANCHOR).fast(), ["arima", "ets"], _save(spark))
-    registry = pipeline.model_registry(out["ranks"], out["best"], prices, "2024-01-01")
+    prices, _, registry = _registered(spark, sf_dir, ["arima", "ets"])
     return rounded(pipeline.predict(registry, prices, None), 4)
 
 
+@query("volatility_paths")
+def volatility_paths(spark, sf_dir):
+    prices, _ = _fit_data(spark, sf_dir)
+    windows = calendar.backtest_windows(prices, ANCHOR)
+    _, best = engines.run_technique_set(prices, windows, ["arima_garch"], 3, None, None, 3, _save(spark))
+    return rounded(engines.volatility_paths(prices, windows, best))
+
+
 @query("dim_horizon", "SELECT * FROM (VALUES " + ", ".join(f"('{f}', '{b}', {lo}, {hi})" for f, by in HORIZONS.items() for b, (lo, hi) in by.items()) + ") v(frequency, bucket, m_start, m_end)")
 def horizon_table(spark, sf_dir):
     return dim_horizon(spark)
