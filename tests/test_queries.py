@@ -20,6 +20,7 @@ from tidecast.sources import tables
 from tidecast.sources.shared import Scratch
 
 COMPARED = [
+    "clean_name_cases", "parse_months", "features_quarterly", "gated_drivers_linear", "feature_redundancy", "range_table_long", "benchmark_score", "score_summary", "forecast_rows", "final_forecast_rows", "density", "window_inputs", "selection_history",
     "monthly_price", "driver_long", "dense_grid", "infer_frequency", "clean_numbers", "clean_names", "summary_statistics", "returns", "histogram", "autocorrelation", "features_complete",
     "lag_search", "backtest_windows", "greedy_redundancy", "cumulative_cut", "backtest_summary", "vintage_matrix", "composite_score", "benchmark_detail", "cycle_averages", "safety_horizon",
 ]

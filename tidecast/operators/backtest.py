@@ -17,7 +17,7 @@ RUN = ["series_id", "technique", "horizon", "window_no"]
 def naive_forecasts(prices: DataFrame, windows: DataFrame, m_end: int, season: int = 12) -> DataFrame:
     """Last value, seasonal last value and drift, as baselines that need no kernel."""
     rows = prices.where("price is not null").select("series_id", "ds", "price")
-    known = rows.join(F.broadcast(windows.select("series_id", "window_no", "train_end")), "series_id").where("ds <= train_end")
+    known = rows.join(windows.select("series_id", "window_no", "train_end"), "series_id").where("ds <= train_end")
     last = known.groupBy("series_id", "window_no", "train_end").agg(F.max_by("price", "ds").alias("last"), F.min_by("price", "ds").alias("first"), F.count("*").alias("n"))
     steps = last.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(m_end)))).withColumn("ds", F.add_months("train_end", F.col("step")))
     source = F.add_months("ds", -season * F.ceil(F.col("step") / season).cast("int"))

@@ -59,7 +59,7 @@ def record_selection(history: DataFrame, decisions: DataFrame, regions: DataFram
     """History with this cycle's rows put in place of earlier ones of the same
     (series, horizon, cycle). A decision without a technique is an error."""
     technique = F.when(F.col("technique").isNull(), F.raise_error(F.lit("a selection needs a technique"))).otherwise(F.col("technique"))
-    rows = decisions.join(F.broadcast(regions), "series_id", "left").select("series_id", "region", "horizon", F.lit(cycle).alias("forecast_cycle"), technique.alias("technique"), "action", "analyst", F.lit(ts).cast("timestamp").alias("ts"))
+    rows = decisions.join(regions, "series_id", "left").select("series_id", "region", "horizon", F.lit(cycle).alias("forecast_cycle"), technique.alias("technique"), "action", "analyst", F.lit(ts).cast("timestamp").alias("ts"))
     kept = history.join(rows.select("series_id", "horizon", "forecast_cycle"), ["series_id", "horizon", "forecast_cycle"], "left_anti")
     return kept.select(*rows.columns).unionByName(rows)
 

@@ -93,17 +93,18 @@ def best_two(ranks: DataFrame) -> DataFrame:
     return rows.groupBy("series_id", "horizon").agg(F.count_if("eligible").alias("n_eligible"), F.max(F.when(F.col("pick") == 1, fields)).alias("best"), F.max(F.when(F.col("pick") == 2, fields)).alias("runner_up"))
 
 
+# The wording of a recommendation, and the scores that it calls strong.
 NO_TECHNIQUE = "No technique met the eligibility thresholds for this series and horizon."
 
 
-def key_reason():
+def key_reason(cfg: Scoring = Scoring()):
     """The sentence that explains a recommendation, out of best_two's columns."""
     b, r = (lambda c: F.col(f"best.{c}")), (lambda c: F.col(f"runner_up.{c}"))
     head = F.concat(F.lit("Highest composite score ("), one_decimal(b("composite")), F.lit(", "), b("tier"), F.lit(") among "), F.col("n_eligible").cast("string"), F.when(F.col("n_eligible") == 1, " eligible technique.").otherwise(" eligible techniques."))
     strong = F.array_compact(F.array(
-        F.when(b("accuracy") >= 90, F.concat(F.lit("strong MAPE accuracy ("), one_decimal(b("accuracy")), F.lit("%)"))),
-        F.when(b("direction") >= 70, F.concat(F.lit("strong directional accuracy ("), one_decimal(b("direction")), F.lit("%)"))),
-        F.when(b("dynamism") >= 70, F.concat(F.lit("healthy forecast dynamism ("), one_decimal(b("dynamism")), F.lit(")"))),
+        F.when(b("accuracy") >= cfg.strong_accuracy, F.concat(F.lit("strong MAPE accuracy ("), one_decimal(b("accuracy")), F.lit("%)"))),
+        F.when(b("direction") >= cfg.strong_direction, F.concat(F.lit("strong directional accuracy ("), one_decimal(b("direction")), F.lit("%)"))),
+        F.when(b("dynamism") >= cfg.strong_dynamism, F.concat(F.lit("healthy forecast dynamism ("), one_decimal(b("dynamism")), F.lit(")"))),
     ))
     notes = F.array_compact(F.array(
         F.when(b("flat_penalty") != 0, F.concat(F.lit("flat-line penalty ("), signed(b("flat_penalty")), F.lit(")"))),
@@ -146,8 +147,8 @@ def summary_table(ranks: DataFrame, regions: DataFrame, benchmark: DataFrame) ->
             when(yes(F.col("insufficient_history"))).alias("Insufficient History (Y/N)"), F.col("benchmark_accuracy").alias("Benchmark Accuracy (%)"),
         )
 
-    own = ranks.join(accuracy, ["series_id", "horizon"], "left").join(F.broadcast(regions), "series_id", "left")
-    first = spine.join(benchmark.drop("technique"), ["series_id", "horizon"], "left").join(F.broadcast(regions), "series_id", "left")
+    own = ranks.join(accuracy, ["series_id", "horizon"], "left").join(regions, "series_id", "left")
+    first = spine.join(benchmark.drop("technique"), ["series_id", "horizon"], "left").join(regions, "series_id", "left")
     top = table(first, F.lit("Benchmark"), F.lit(0), F.lit("N"), F.lit("not_a_recommendable_technique"), F.col("composite").isNotNull())
     return top.unionByName(table(own, F.col("display_name"), F.col("rank"), yes(F.col("eligible")), F.array_join("ineligibility_reasons", "; "), F.lit(True)))
 

@@ -66,6 +66,9 @@ class Scoring:
     floor: float = 0
     tier_high: float = 85
     tier_medium: float = 75
+    strong_accuracy: float = 90
+    strong_direction: float = 70
+    strong_dynamism: float = 70
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ doesn't show.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -137,12 +138,18 @@ def clean_names(spark, sf_dir):
     return rows.select("item", S.clean_name("item").alias("cleaned"))
 
 
-@query("clean_name_cases")
+_CLEAN = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(item, '\s+', ' ', 'g'), '[/()\[\]{},:"'']+', '_', 'g'), '_+', '_', 'g'), '^[_ ]+|[_ ]+$', '', 'g')"""
+_QUOTED = lambda t: "NULL" if t is None else "'" + t.replace("'", "''") + "'"
+
+
+@query("clean_name_cases", f"SELECT item, {_CLEAN} AS cleaned FROM (VALUES {', '.join(f'({_QUOTED(n)})' for n in NAMES)}) v(item)")
 def clean_name_cases(spark, sf_dir):
     return spark.createDataFrame([(n,) for n in NAMES], "item string").select("item", S.clean_name("item").alias("cleaned"))
 
 
-@query("parse_months")
+@query("parse_months", f"""SELECT i AS id, t AS raw, CAST(date_trunc('month', CASE WHEN regexp_matches(trim(t), '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN try_strptime(trim(t)[1:10], '%Y-%m-%d')
+ WHEN regexp_matches(trim(t), '^[A-Za-z]{{3}}-\\d{{2}}$') THEN try_strptime(trim(t)[1:4] || '20' || trim(t)[5:6], '%b-%Y') WHEN regexp_matches(trim(t), '^[A-Za-z]{{3}}-\\d{{4}}$') THEN try_strptime(trim(t), '%b-%Y') END) AS DATE) AS ds
+ FROM (VALUES {', '.join(f'({i}, {_QUOTED(t)})' for i, t in enumerate(DATES))}) v(i, t)""")
 def parse_months(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(DATES)), "id int, raw string").select("id", "raw", S.parse_month("raw").alias("ds"))
 
@@ -207,6 +214,21 @@ def histogram(spark, sf_dir):
     return rounded(quality_checks.histogram(_prices(spark, sf_dir)))
 
 
+@query("density", f"""WITH {GRID_SQL}, v AS (SELECT series_id, price FROM grid WHERE price IS NOT NULL), r AS (SELECT series_id, min(price) AS low, max(price) AS high, count(*) AS n, stddev_samp(price) * pow(count(*), -0.2) AS width FROM v GROUP BY 1 HAVING stddev_samp(price) > 0),
+g AS (SELECT *, unnest(range(100)) AS point FROM r), p AS (SELECT *, low + (high - low) * point / 99 AS place FROM g)
+SELECT p.series_id, p.point, round_even(place, 6) + 0.0 AS at, round_even(sum(exp(-pow((place - price) / width, 2) / 2)) / (any_value(n) * any_value(width) * sqrt(2 * pi())), 6) + 0.0 AS density FROM p JOIN v USING (series_id) GROUP BY 1, 2, place""")
+def density(spark, sf_dir):
+    return rounded(quality_checks.density(_prices(spark, sf_dir)))
+
+
+@query("window_inputs", f"""WITH {GRID_SQL}, k AS (SELECT series_id, ds, price, month(ds) AS m, year(ds) AS year, min(price) FILTER (WHERE ds <= DATE '2000-12-01') OVER (PARTITION BY series_id) AS low, max(price) FILTER (WHERE ds <= DATE '2000-12-01') OVER (PARTITION BY series_id) AS high FROM grid)
+SELECT series_id, ds, round_even(sin(m * 2 * pi() / 12), 6) + 0.0 AS month_sin, round_even(cos(m * 2 * pi() / 12), 6) + 0.0 AS month_cos, year, round_even(CASE WHEN high = low THEN 0.0 ELSE (price - low) / (high - low) END, 6) + 0.0 AS price_scaled FROM k""")
+def window_inputs(spark, sf_dir):
+    """Inputs of models that read whole windows, scaled by what is known at the end of 2000."""
+    rows = features.min_max(features.window_features(_prices(spark, sf_dir)), ["price"], "2000-12-01")
+    return rounded(rows.select("series_id", "ds", "month_sin", "month_cos", "year", "price_scaled"))
+
+
 @query("autocorrelation", f"""WITH {GRID_SQL}, x AS (SELECT series_id, price - avg(price) OVER (PARTITION BY series_id) AS x, row_number() {BY}) AS pos FROM grid WHERE price IS NOT NULL),
 l AS (SELECT *, unnest(range(13)) AS lag FROM x),
 c AS (SELECT l.series_id, lag, sum(l.x * y.x) AS c FROM l JOIN x y ON l.series_id = y.series_id AND y.pos = l.pos - l.lag GROUP BY 1, 2),
@@ -255,24 +277,29 @@ def quality_flags(spark, sf_dir):
 
 # --- features -----------------------------------------------------------------
 
-def _features_sql() -> str:
+def _features_sql(frequency: str = "monthly") -> str:
+    z = features.sizes(frequency)
     lag = lambda k: f"lag(price, {k}) {BY})"
     roll = lambda fn, k, least=None: f"CASE WHEN count(price) {BY} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) >= {least or k} THEN {fn}(price) {BY} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) END"
-    base = [f"{lag(k)} AS lag_{k}" for k in (1, 2, 3, 6, 12)] + [f"{lag(k)} AS l{k}" for k in (1, 2, 3, 4, 7)]
-    base += [f"{roll(fn, k)} AS roll_{n}_{k}" for k in (3, 6, 12) for n, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
+    monthly = frequency == "monthly"
+    base = [f"{lag(k)} AS lag_{k}" for k in z["lags"]] + [f"{lag(k)} AS l{k}" for k in sorted({1, 2, 3, 4, *(1 + k for k in z["cumulative"])})]
+    base += [f"{roll(fn, k)} AS roll_{n}_{k}" for k in z["rolling"] for n, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    base += [f"avg(price) {BY} {before} AS expanding_mean", f"stddev_samp(price) {BY} {before} AS expanding_std", f"avg(price) OVER (PARTITION BY series_id, month(ds) ORDER BY ds {before} AS same_mean"]
-    base += [f"{roll('avg', 36, 12)} AS rolling_mean_36", f"{roll('stddev_samp', 36, 12)} AS rolling_std_36", "min(year(ds)) OVER (PARTITION BY series_id) AS y0"]
-    top = ["series_id", "ds", "price", *(f"lag_{k}" for k in (1, 2, 3, 6, 12)), *(f"roll_{n}_{k}" for k in (3, 6, 12) for n in ("mean", "std", "min", "max"))]
-    top += [f"coalesce((l1 - roll_mean_{k}) / CASE WHEN roll_std_{k} > 0 THEN roll_std_{k} END, 0.0) AS roll_zscore_{k}" for k in (3, 6, 12)]
-    top += [f"roll_std_{k} / nullif(roll_mean_{k}, 0) AS coef_var_{k}" for k in (3, 6, 12)]
+    base += [f"avg(price) {BY} {before} AS expanding_mean", f"stddev_samp(price) {BY} {before} AS expanding_std", f"avg(price) OVER (PARTITION BY series_id, {'month' if monthly else 'quarter'}(ds) ORDER BY ds {before} AS same_mean"]
+    k36, short, long = z["long"], z["rolling"][0], z["rolling"][-1]
+    base += [f"{roll('avg', k36, z['long_least'])} AS rolling_mean_{k36}", f"{roll('stddev_samp', k36, z['long_least'])} AS rolling_std_{k36}", "min(year(ds)) OVER (PARTITION BY series_id) AS y0"]
+    top = ["series_id", "ds", "price", *(f"lag_{k}" for k in z["lags"]), *(f"roll_{n}_{k}" for k in z["rolling"] for n in ("mean", "std", "min", "max"))]
+    top += [f"coalesce((l1 - roll_mean_{k}) / CASE WHEN roll_std_{k} > 0 THEN roll_std_{k} END, 0.0) AS roll_zscore_{k}" for k in z["rolling"]]
+    top += [f"roll_std_{k} / nullif(roll_mean_{k}, 0) AS coef_var_{k}" for k in z["rolling"]]
     ratio = lambda a, b: f"(l{a} / nullif(l{b}, 0) - 1) * 100"
-    top += ["l1 - l2 AS mom_change", f"{ratio(1, 2)} AS mom_pct_change", f"{ratio(2, 3)} AS mom_pct_lag1", f"{ratio(3, 4)} AS mom_pct_lag2", f"{ratio(1, 4)} AS cum_return_3p", f"{ratio(1, 7)} AS cum_return_6p"]
-    top += ["l1 / nullif(roll_mean_12, 0) AS price_to_ma_long", "l1 / nullif(roll_mean_3, 0) AS price_to_ma_short", "roll_mean_3 / nullif(roll_mean_12, 0) AS ma_short_to_ma_long"]
+    top += ["l1 - l2 AS mom_change", f"{ratio(1, 2)} AS mom_pct_change", f"{ratio(2, 3)} AS mom_pct_lag1", f"{ratio(3, 4)} AS mom_pct_lag2", *(f"{ratio(1, 1 + k)} AS cum_return_{k}p" for k in z["cumulative"])]
+    top += [f"l1 / nullif(roll_mean_{long}, 0) AS price_to_ma_long", f"l1 / nullif(roll_mean_{short}, 0) AS price_to_ma_short", f"roll_mean_{short} / nullif(roll_mean_{long}, 0) AS ma_short_to_ma_long"]
     top += ["month(ds) AS month", "quarter(ds) AS quarter", "year(ds) AS year", *(f"{f}({x}(ds) * {n}) AS {x}_{f}" for x, n in (("month", 2 * 3.141592653589793 / 12), ("quarter", 2 * 3.141592653589793 / 4)) for f in ("sin", "cos")), "year(ds) - y0 AS years_since_start"]
-    top += [f"CAST(quarter(ds) = {q} AS INTEGER) AS is_q{q}" for q in range(1, 5)] + [f"CAST(month(ds) = {i} AS INTEGER) AS is_{m}" for i, m in enumerate(features.MONTHS, 1)]
-    top += ["expanding_mean", "expanding_std", "l1 / nullif(expanding_mean, 0) AS price_to_expanding_mean", "same_mean / nullif(expanding_mean, 0) AS seasonal_index", "rolling_mean_36", "rolling_std_36", "price / nullif(rolling_mean_36, 0) AS price_to_rolling_mean_36"]
-    return f"WITH {GRID_SQL}, base AS (SELECT series_id, ds, price, {', '.join(base)} FROM grid), feats AS (SELECT {', '.join(top)} FROM base)"
+    top += [f"CAST(quarter(ds) = {q} AS INTEGER) AS is_q{q}" for q in range(1, 5)] + [f"CAST(month(ds) = {i} AS INTEGER) AS is_{m}" for i, m in enumerate(features.MONTHS, 1) if monthly]
+    top += ["expanding_mean", "expanding_std", "l1 / nullif(expanding_mean, 0) AS price_to_expanding_mean", "same_mean / nullif(expanding_mean, 0) AS seasonal_index", f"rolling_mean_{k36}", f"rolling_std_{k36}", f"price / nullif(rolling_mean_{k36}, 0) AS price_to_rolling_mean_{k36}"]
+    grid = GRID_SQL if monthly else f"""{PRICE_SQL}, bounds AS (SELECT series_id, min(ds) AS a, max(ds) AS b FROM fact_price WHERE month(ds) % 3 = 1 GROUP BY 1),
+quarters AS (SELECT series_id, CAST(unnest(generate_series(a, b, INTERVAL 3 MONTH)) AS DATE) AS ds FROM bounds), grid AS (SELECT q.series_id, q.ds, p.price FROM quarters q LEFT JOIN fact_price p ON p.series_id = q.series_id AND p.ds = q.ds)"""
+    return f"WITH {grid}, base AS (SELECT series_id, ds, price, {', '.join(base)} FROM grid), feats AS (SELECT {', '.join(top)} FROM base)"
 
 
 _INTEGERS = {"month", "quarter", "year", "years_since_start", *(f"is_q{q}" for q in range(1, 5)), *(f"is_{m}" for m in features.MONTHS)}
@@ -291,7 +318,7 @@ def features_complete(spark, sf_dir):
     return rounded(features.complete_cases(features.engineer(_prices(spark, sf_dir))))
 
 
-@query("features_quarterly")
+@query("features_quarterly", f"{_features_sql('quarterly')} SELECT series_id, ds, price, {', '.join(n if n in _INTEGERS else f'round_even({n}, 6) + 0.0 AS {n}' for n, _, _ in features.feature_table('quarterly'))} FROM feats")
 def features_quarterly(spark, sf_dir):
     q = tables.fact_price(spark, sf_dir).where(F.month("ds") % 3 == 1)
     return rounded(features.engineer(calendar.dense_grid(q, "quarterly"), "quarterly"))
@@ -349,7 +376,15 @@ def gated_drivers(spark, sf_dir):
     return rounded(drivers.gated_drivers(prices, chosen))
 
 
-@query("gated_drivers_linear")
+_SIDE = "OVER (PARTITION BY series_id, driver ORDER BY ds ROWS BETWEEN"
+_LINEAR = f"""{LAG_SQL}, placed0 AS (SELECT o.*, g.action, row_number() OVER (PARTITION BY o.series_id, o.driver ORDER BY o.ds) AS pos FROM on_dates o JOIN gate g ON o.series_id = g.series_id AND o.driver = g.driver WHERE g.action <> 'excluded'),
+sides AS (SELECT *, CASE WHEN lagged IS NOT NULL THEN pos END AS own FROM placed0),
+sided AS (SELECT *, last_value(own IGNORE NULLS) {_SIDE} UNBOUNDED PRECEDING AND CURRENT ROW) AS p0, last_value(lagged IGNORE NULLS) {_SIDE} UNBOUNDED PRECEDING AND CURRENT ROW) AS v0,
+ first_value(own IGNORE NULLS) {_SIDE} CURRENT ROW AND UNBOUNDED FOLLOWING) AS p1, first_value(lagged IGNORE NULLS) {_SIDE} CURRENT ROW AND UNBOUNDED FOLLOWING) AS v1 FROM sides),
+linear AS (SELECT series_id, driver, ds, CASE WHEN action = 'included' THEN lagged WHEN p0 IS NOT NULL THEN coalesce(lagged, v0 + (pos - p0) / nullif(CAST(p1 - p0 AS DOUBLE), 0) * (v1 - v0), v0) END AS value FROM sided)"""
+
+
+@query("gated_drivers_linear", f"WITH {_LINEAR} SELECT series_id, driver, ds, {rounds('value')} FROM linear")
 def gated_drivers_linear(spark, sf_dir):
     prices, _, _, chosen = _chosen(spark, sf_dir)
     return rounded(drivers.gated_drivers(prices, chosen, "linear"))
@@ -424,7 +459,18 @@ def greedy_redundancy(spark, sf_dir):
     return rounded(selection.greedy_redundancy(_strength(spark, sf_dir), pairs, 0.5))
 
 
-@query("feature_redundancy")
+_LONG_SQL = f"""{_features_sql().removeprefix('WITH ')}, full0 AS (SELECT * FROM feats WHERE {_COMPLETE}), wide0 AS (SELECT series_id, ds, price, {', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in _FEATURES)} FROM full0), long0 AS (UNPIVOT wide0 ON {', '.join(_FEATURES)} INTO NAME name VALUE value)"""
+
+
+@query("feature_redundancy", f"""WITH RECURSIVE {_LONG_SQL}, pairc AS (SELECT a.series_id, a.name AS a, b.name AS b, {_CORR('a.value', 'b.value')} AS corr FROM long0 a JOIN long0 b ON a.series_id = b.series_id AND a.ds = b.ds AND a.name < b.name GROUP BY 1, 2, 3),
+high AS MATERIALIZED (SELECT series_id, a, b FROM pairc WHERE abs(corr) > 0.7 UNION ALL SELECT series_id, b, a FROM pairc WHERE abs(corr) > 0.7),
+clash AS MATERIALIZED (SELECT series_id, a AS name, list(b) AS others FROM high GROUP BY 1, 2),
+strength AS (SELECT series_id, name, abs({_CORR('price', 'value')}) AS strength FROM long0 GROUP BY 1, 2),
+placed AS MATERIALIZED (SELECT s.*, coalesce(c.others, []) AS others, row_number() OVER (PARTITION BY s.series_id ORDER BY round_even(strength, 9) DESC NULLS LAST, s.name) AS place FROM strength s LEFT JOIN clash c ON c.series_id = s.series_id AND c.name = s.name),
+walk AS (SELECT series_id, 1 AS place, [name] AS kept FROM placed WHERE place = 1
+ UNION ALL SELECT p.series_id, p.place, CASE WHEN p.strength IS NOT NULL AND list_has_any(w.kept, p.others) THEN w.kept ELSE list_append(w.kept, p.name) END FROM walk w JOIN placed p ON p.series_id = w.series_id AND p.place = w.place + 1),
+last_walk AS (SELECT series_id, arg_max(kept, place) AS kept FROM walk GROUP BY 1)
+SELECT p.series_id, p.name, round_even(p.strength, 6) + 0.0 AS strength, p.place, list_contains(l.kept, p.name) AS kept FROM placed p JOIN last_walk l USING (series_id)""")
 def feature_redundancy(spark, sf_dir):
     full = features.complete_cases(features.engineer(_prices(spark, sf_dir)))
     long = full.select("series_id", "ds", "price", *(F.col(n).cast("double").alias(n) for n in _FEATURES)).unpivot(["series_id", "ds", "price"], _FEATURES, "name", "value")
@@ -642,7 +688,8 @@ def range_table_short(spark, sf_dir):
     return rounded(benchmark.range_table(_vendor(spark, sf_dir)[2], "M1-M3"))
 
 
-@query("range_table_long")
+@query("range_table_long", f"""WITH {VINTAGE_SQL} SELECT series_id, sort_order, vintage, count(*) || '/12M' AS "Months Available", {', '.join(f'''coalesce(max(strftime(target, '%b-%Y')) FILTER (WHERE m_step = {i}), '—') AS "M{i} Date", max(round_even(accuracy, 2)) FILTER (WHERE m_step = {i}) AS "M{i} Accuracy", max(round_even(mape, 2)) FILTER (WHERE m_step = {i}) AS "M{i} MAPE (%)", max(da_mom) FILTER (WHERE m_step = {i}) AS "M{i} DA", max(da_abs) FILTER (WHERE m_step = {i}) AS "M{i} Abs DA"''' for i in range(7, 19))},
+ round_even(avg(accuracy), 2) AS "Avg Accuracy (%)", round_even(avg(mape), 2) AS "Avg MAPE (%)", round_even(avg(da_mom) * 100, 1) AS "Avg DA (%)", round_even(avg(da_abs) * 100, 1) AS "Avg Abs DA (%)", round_even(avg(mae), 2) AS "Avg MAE", round_even(avg(mae), 2) AS "Avg RMSE", strftime(vintage, '%b-%Y') AS "Predicted From" FROM bd WHERE m_step BETWEEN 7 AND 18 GROUP BY 1, 2, 3""")
 def range_table_long(spark, sf_dir):
     return rounded(benchmark.range_table(_vendor(spark, sf_dir)[2], "M7-M18"))
 
@@ -655,7 +702,16 @@ def _benchmark_scores(spark, sf_dir):
     return scores.join(mean, ["series_id", "horizon"], "left")
 
 
-@query("benchmark_score")
+_SCORE_TAIL = SCORE_SQL.removeprefix(DETAIL_SQL)
+_OWN = ("detail", "summary", "cyc", "pc", "ra", "dw", "dy", "bo", "ou", "sc0", "sc1", "sc2", "sc", "scores", "ranks")
+# The same scorer over the vendor's rows, its tables under names of their own; its scores are not set to 0 by a disqualification.
+BENCH_SQL = f"""bdetail AS (SELECT series_id, 'benchmark' AS technique, r.horizon, sort_order AS window_no, CAST(vintage - INTERVAL 1 MONTH AS DATE) AS train_end, vintage AS forecast_start, m_step AS step, target AS ds, predicted, actual, da_mom, da_abs, 'Actual' AS flag, mae, mse, mape, mpe, accuracy FROM bd JOIN {_RANGE.replace('hz(horizon, a, b)', 'r(horizon, a, b)')} ON m_step BETWEEN r.a AND r.b),
+bsummary AS (SELECT series_id, technique, horizon, window_no, train_end, forecast_start, count(*) AS months_evaluated, avg(mape) AS mape, avg(mpe) AS mpe, avg(accuracy) AS avg_accuracy, avg(da_mom) * 100 AS da, avg(da_abs) * 100 AS da_abs FROM bdetail GROUP BY ALL)""" + re.sub(
+    rf"\b({'|'.join(_OWN)})\b", r"b\1", _SCORE_TAIL
+).replace("CASE WHEN insufficient_history OR disqualified THEN 0.0", "CASE WHEN insufficient_history THEN 0.0") + ", bmean AS (SELECT series_id, horizon, avg(accuracy) AS benchmark_accuracy FROM bdetail GROUP BY 1, 2)"
+
+
+@query("benchmark_score", f"WITH {VINTAGE_SQL}, {BENCH_SQL} SELECT {_SCORED}, round_even(benchmark_accuracy, 5) + 0.0 AS benchmark_accuracy FROM bscores LEFT JOIN bmean USING (series_id, horizon)")
 def benchmark_score(spark, sf_dir):
     return _flat(_benchmark_scores(spark, sf_dir), "benchmark_accuracy")
 
@@ -666,12 +722,35 @@ def _regions(spark, sf_dir):
     return nation.join(region, "n_regionkey").select("series_id", "region")
 
 
-@query("score_summary")
+_SHOWN = "CASE {} WHEN 'short' THEN 'Short Term' WHEN 'medium' THEN 'Medium Term' WHEN 'long' THEN 'Long Term' ELSE {} END"
+_REGION_SQL = "regions AS (SELECT 'Brand#' || (n_nationkey // 5 + 1) || (n_nationkey % 5 + 1) AS series_id, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey)"
+_SHEET = (("accuracy", "MAPE Accuracy %"), ("direction", "Directional Accuracy %"), ("dynamism", "Forecast Dynamism"), ("recency", "Recency Score"), ("flat_penalty", "Flat-line Penalty"), ("outlier_penalty", "Outlier Penalty"), ("composite", "Composite Score"))
+
+
+def _sheet_sql(technique, rank, eligible, why, known, source):
+    yes = lambda c: f"CASE WHEN {known} THEN CASE WHEN {c} THEN 'Y' ELSE 'N' END END"
+    numbers = ", ".join(f'round_even({c}, 4) + 0.0 AS "{n}"' for c, n in _SHEET)
+    return f"""SELECT x.series_id AS "Commodity", region AS "Region", {_SHOWN.format('x.horizon', 'x.horizon')} AS "Horizon", {technique} AS "Technique", {yes('NOT disqualified')} AS "Eligible (Y/N)", CASE WHEN {known} THEN reasons END AS "Disqualification Reason", {numbers},
+ CAST({rank} AS BIGINT) AS "Rank", {eligible} AS "Eligible For Recommendation (Y/N)", {why} AS "Ineligibility Reason", round_even(bias_penalty, 4) + 0.0 AS "Normalized Bias Penalty", round_even(mean_mpe, 4) + 0.0 AS "Mean MPE (%)", evaluated_cycles AS "Evaluated Cycles",
+ {yes('insufficient_history')} AS "Insufficient History (Y/N)", round_even(benchmark_accuracy, 4) + 0.0 AS "Benchmark Accuracy (%)" FROM {source} LEFT JOIN bmean m ON m.series_id = x.series_id AND m.horizon = x.horizon LEFT JOIN regions g ON g.series_id = x.series_id"""
+
+
+_VINTAGE_TAIL = VINTAGE_SQL.removeprefix(GRID_SQL)
+
+
+@query("score_summary", f"WITH {SCORE_SQL}{_VINTAGE_TAIL}, {BENCH_SQL}, {_REGION_SQL}, spine AS (SELECT DISTINCT series_id, horizon FROM ranks) "
+    + _sheet_sql("'Benchmark'", "0", "'N'", "'not_a_recommendable_technique'", "composite IS NOT NULL", "(SELECT s.series_id, s.horizon, b.* EXCLUDE (series_id, horizon) FROM spine s LEFT JOIN bscores b ON b.series_id = s.series_id AND b.horizon = s.horizon) x")
+    + " UNION ALL " + _sheet_sql("technique", "rank", "CASE WHEN eligible THEN 'Y' ELSE 'N' END", "soft", "true", "ranks x"))
 def score_summary(spark, sf_dir):
     return rounded(scoring.summary_table(_ranks(spark, sf_dir), _regions(spark, sf_dir), _benchmark_scores(spark, sf_dir)), 4)
 
 
-@query("forecast_rows")
+_BLOCK = lambda prefix, t: f'{t}.technique AS "{prefix} Technique", ' + ", ".join(f'round_even({t}.{c}, 4) + 0.0 AS "{prefix} - {n}"' for c, n in _SHEET if "penalty" not in c)
+
+
+@query("forecast_rows", f"""WITH {BEST_SQL} SELECT s.series_id AS "Commodity", {_SHOWN.format('s.horizon', 's.horizon')} AS "Horizon", {_BLOCK('Best', 'b')}, {_BLOCK('Runner-Up', 'r')}, b.tier AS "Confidence Tier", {REASON_SQL} AS "Key Reason",
+ CASE WHEN b.technique IS NULL THEN 'Pending: no eligible technique to default to' ELSE 'Pending (auto-defaulted to top score; awaiting analyst review)' END AS "Decision Log Status"
+ FROM spine s LEFT JOIN pick b ON b.series_id = s.series_id AND b.horizon = s.horizon AND b.k = 1 LEFT JOIN pick r ON r.series_id = s.series_id AND r.horizon = s.horizon AND r.k = 2""")
 def forecast_rows(spark, sf_dir):
     return rounded(scoring.forecast_rows(scoring.recommend(_ranks(spark, sf_dir))), 4)
 
@@ -713,7 +792,7 @@ def selection_history(spark, sf_dir):
     return history.select("series_id", "horizon", "forecast_cycle", "technique", "action")
 
 
-@query("final_forecast_rows")
+@query("final_forecast_rows", f"WITH {LOG_SQL} SELECT c.series_id, c.horizon, c.technique, round_even(r.composite, 4) AS composite, c.status FROM current c LEFT JOIN ranks r ON r.series_id = c.series_id AND r.horizon = c.horizon AND r.technique = c.technique WHERE c.technique IS NOT NULL")
 def final_forecast_rows(spark, sf_dir):
     best, log = _decisions(spark, sf_dir)
     rows = governance.final_forecast_rows(best, governance.current_decisions(log, best), _ranks(spark, sf_dir))
