@@ -82,5 +82,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# Links between all vectors, and the smallest id that a walk over links reaches.
+RABITQ_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.9),
+reach AS (SELECT vec_id, vec_id AS least FROM embeddings UNION SELECT l.a, r.least FROM reach r JOIN links l ON l.b = r.vec_id WHERE r.least < l.a),
+parts AS (SELECT vec_id, min(least) AS component_id FROM reach GROUP BY 1),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, p.component_id, e.vec_id = p.component_id AS kept
+FROM embeddings e JOIN parts p ON p.vec_id = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
+# What the output of the template says once it is read back, from the rows themselves.
+CHAT_SQL = """
+WITH rows0 AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+told AS (SELECT *, replace(replace(replace(text, '\\', '\\\\'), '###', '\\###'), '</turn>', '\\</turn>') AS escaped FROM rows0)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length('### ') + length(role) + length(':') + 1 + length(escaped) + length('</turn>') + 1)::BIGINT AS formatted_chars
+FROM told GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL, "op5_rabitq": RABITQ_SQL, "op9_chat": CHAT_SQL}
