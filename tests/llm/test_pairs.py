@@ -149,14 +149,19 @@ def test_near_vectors_match_brute_force(spark):
     assert rabitq.near_vectors(df.limit(0)).count() == 0
 
 
-def test_estimates_are_unbiased():
+def test_estimates_are_unbiased_and_codes_lose_no_link():
     rng = np.random.default_rng(9)
     x = rng.normal(size=(400, 64))
-    codes = rabitq.Codes(x)
-    estimate = codes.signs(slice(0, 400)) @ codes.turned.T / codes.factor[:, None]
-    unit = x / codes.lengths[:, None]
+    x[200:] = x[:200] + 0.4 * rng.normal(size=(200, 64))
+    bits, factor, turned = rabitq.encode(x)
+    estimate = rabitq.signs(bits, 64) @ turned.T / factor[:, None]
+    unit = x / np.sqrt((x**2).sum(1))[:, None]
     off = ~np.eye(400, dtype=bool)
-    assert abs((estimate - unit @ unit.T)[off].mean()) < 0.005
+    assert bits.shape == (400, 8) and abs((estimate - unit @ unit.T)[off].mean()) < 0.005
+    linked = (unit @ unit.T >= 0.9) & off
+    assert linked.any() and (estimate >= rabitq.least_estimate(factor, 64, 0.9)[:, None])[linked].all()
+    left, right = rabitq.surviving_rows(turned, bits, factor, 0.9, True)
+    assert (left | right)[linked.any(0)].all() and not (left | right).all()
 
 
 def test_nearest_matches_brute_force(spark):
