@@ -9,8 +9,9 @@ fill predicts are taken off, and the language with most corrected hits wins.
 N-grams are 1 to 4 letters long with word ends marked, lower case. Each
 language's filter is learned from a sample of about SAMPLE_DOCS documents (taken by
 a hash of the id with a share that expects that number, equally from each language)
-and holds the n-grams found in at least MIN_SHARE of them, at most MAX_GRAMS, most
-frequent first.
+and holds the n-grams found in at least MIN_SHARE of them. Should these be more than
+MAX_GRAMS, it holds those found in most documents, and of the last ones, which are
+found in equally many, a share by a hash that expects to make up MAX_GRAMS.
 
 Null texts and texts without a letter (a character of one of Unicode's letter
 categories) give `und` with score 0. Ties go to the language that sorts first. With
@@ -26,10 +27,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows
+from .common import Scratch, batch_rows
 
 SAMPLE_DOCS = 6_000
 MIN_SHARE = 0.02
@@ -125,7 +126,7 @@ class BitSlicedFilter:
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = SLOTS) -> BitSlicedFilter:
     """Filters from rows (doc_id, text, lang) with a language. The driver gets
-    at most MAX_GRAMS n-grams of each language."""
+    about MAX_GRAMS n-grams of each language, and a row for each number of documents."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     totals = sorted(rows.groupBy("lang").count().collect())
     if not totals:
@@ -148,10 +149,19 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = SLOTS) ->
     sample = rows.where(lot < share).select("text", "lang")
     counted = sample.mapInArrow(run, "place int, gram long, n long").groupBy("place", "gram").agg(F.sum("n").alias("n"))
     least = F.coalesce(*(F.when(F.col("place") == place[lang], F.lit(MIN_SHARE * min(each, n))) for lang, n in totals))
-    kept = counted.where(F.col("n") >= least)
+    kept = Scratch(docs.sparkSession, "grams").save(counted.where(F.col("n") >= least))
+    # how many n-grams stand in each number of documents decides where a language's list ends:
+    # at one number, of which a share goes in by a hash
+    share, held = {}, {}
+    for r in kept.groupBy("place", "n").agg(F.count("*").alias("grams")).orderBy("place", F.desc("n")).collect():
+        room = MAX_GRAMS - held.get(r.place, 0)
+        if room > 0:
+            share[r.place] = (r.n, min(1.0, room / r.grams))
+        held[r.place] = held.get(r.place, 0) + r.grams
     grams = {}
-    rank = F.row_number().over(Window.partitionBy("place").orderBy(F.desc("n"), "gram"))
-    rows_of = kept.withColumn("rank", rank).where(F.col("rank") <= MAX_GRAMS).select("place", "gram").toPandas()
+    drawn = F.pmod(F.xxhash64("gram"), F.lit(span))
+    enough = F.coalesce(*(F.when((F.col("place") == i) & ((F.col("n") > n) | ((F.col("n") == n) & (drawn < int(span * part)))), True) for i, (n, part) in share.items()), F.lit(False))
+    rows_of = kept.where(enough).select("place", "gram").toPandas()
     for lang, i in place.items():
         grams[lang] = rows_of.gram[rows_of.place == i].to_numpy(np.int64).view(np.uint64)
     return BitSlicedFilter.build(grams, size)
