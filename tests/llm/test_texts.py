@@ -290,6 +290,21 @@ def test_packing_long_blanks_and_repeated_rows(spark, reference):
     assert (got.sort_values(["sequence_id", "offset"]).groupby("sequence_id").length.cumsum() <= 2048).all()
 
 
+def test_grams_of_parts_are_those_of_the_text():
+    rng = random.Random(3)
+    for _ in range(200):
+        text = "".join(rng.choice("abé 1.Ж𝒳") for _ in range(rng.randint(0, 40)))
+        padded, want = [0, *langid._codes(text).tolist(), 0], 0
+        for n in langid.SIZES:
+            for i in range(len(padded) - n + 1):
+                gram = padded[i : i + n]
+                want += all(gram[1:-1]) and any(gram) if n > 1 else bool(gram[0])
+        whole = np.sort(langid.gram_hashes(text))
+        assert len(whole) == want
+        for part in (1, 2, 3, 7):
+            assert np.array_equal(np.sort(np.concatenate(list(langid.gram_parts(text, part)))), whole)
+
+
 def test_no_letter_is_und(spark):
     rows = [(i, "der Hund und die Katze" if i % 2 else "the dog and the cat", "de" if i % 2 else "en") for i in range(60)]
     model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))

@@ -39,6 +39,7 @@ SLOTS = 1 << 18
 PROBES = 3
 SIZES = (1, 2, 3, 4)
 WORD = 64
+PART = 1 << 17
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -55,26 +56,38 @@ def _letters() -> np.ndarray:
 _TABLE = _letters()
 
 
-def gram_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of all n-grams of a text; a gram never spans two words."""
+def _codes(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-    codes = np.where(points < (1 << 16), _TABLE[np.minimum(points, (1 << 16) - 1)], points)
-    codes = np.concatenate(([0], codes, [0])).astype(np.uint64)
-    inside = codes != 0
-    found, mixed = [], np.zeros(len(codes), np.uint64)
-    for n in SIZES:
-        # the gram of n characters from i on; its first and last may be a word end
-        if len(codes) < n:
-            break
-        m = len(codes) - n + 1
-        mixed = (mixed[:m] * np.uint64(0x100000001B3) + codes[n - 1 :] + np.uint64(n)) if n > 1 else codes + np.uint64(1)
-        ok = inside[:m].copy() if n == 1 else np.ones(m, bool)
-        for k in range(1, n - 1):
-            ok &= inside[k : k + m]
-        if n == 2:
-            ok &= inside[:m] | inside[1 : m + 1]
-        found.append(mixed[ok] * _MULTIPLIERS[0])
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+    return np.where(points < (1 << 16), _TABLE[np.minimum(points, (1 << 16) - 1)], points).astype(np.uint64)
+
+
+def gram_parts(text: str, part: int = PART) -> Iterator[np.ndarray]:
+    """64-bit hashes of all n-grams of a text, those that begin in `part` characters at a
+    time; a gram never spans two words."""
+    end = np.zeros(1, np.uint64)  # a word end stands before and after the text
+    for at in range(0, len(text) + 2, part):
+        stop = at + part + SIZES[-1] - 1
+        codes = np.concatenate([end[: at == 0], _codes(text[max(0, at - 1) : stop - 1]), end[: stop >= len(text) + 2]])
+        inside, found, mixed = codes != 0, [], codes + np.uint64(1)
+        for n in SIZES:
+            # the gram of n characters from i on; its first and last may be a word end
+            m = len(codes) - n + 1
+            if m <= 0:
+                break
+            if n > 1:
+                mixed = mixed[:m] * np.uint64(0x100000001B3) + codes[n - 1 :] + np.uint64(n)
+            ok = inside[:m].copy() if n == 1 else np.ones(m, bool)
+            for k in range(1, n - 1):
+                ok &= inside[k : k + m]
+            if n == 2:
+                ok &= inside[:m] | inside[1 : m + 1]
+            ok[part:] = False
+            found.append(mixed[ok] * _MULTIPLIERS[0])
+        yield np.concatenate(found)
+
+
+def gram_hashes(text: str) -> np.ndarray:
+    return np.concatenate(list(gram_parts(text)))
 
 
 @dataclass
@@ -116,9 +129,11 @@ class BitSlicedFilter:
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.languages or not any(map(str.isalpha, text)):
             return "und", 0.0
-        masks = self.masks(gram_hashes(text))
-        n = max(1, len(masks))
-        hits = np.clip((self.counts(masks) / n - self.false_rate) / np.maximum(1e-9, 1 - self.false_rate), 0, None)
+        counts, n = np.zeros(len(self.languages)), 0
+        for part in gram_parts(text):
+            counts += self.counts(self.masks(part))
+            n += len(part)
+        hits = np.clip((counts / max(1, n) - self.false_rate) / np.maximum(1e-9, 1 - self.false_rate), 0, None)
         best = int(np.argmax(hits))
         second = float(np.max(np.delete(hits, best))) if len(hits) > 1 else 0.0
         return self.languages[best], float(np.clip(hits[best] / max(1e-12, hits[best] + second), 0, 1))
@@ -141,7 +156,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = SLOTS) ->
             for batch in batch_rows(whole):
                 by = {}
                 for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
-                    by.setdefault(lang, []).append(np.unique(gram_hashes(text.as_py())))
+                    by.setdefault(lang, []).append(np.unique(np.concatenate([np.unique(p) for p in gram_parts(text.as_py())])))
                 for lang, parts in by.items():
                     grams, n = np.unique(np.concatenate(parts), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([place[lang]] * len(grams), pa.int32()), pa.array(grams.view(np.int64)), pa.array(n, pa.int64())], ["place", "gram", "n"])
