@@ -367,13 +367,13 @@ def ets(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
     if "mul" in (trend, seasonal) and y.min() <= 0:
         raise ValueError("multiplicative parts need positive values")
     grid = itertools.product((0.1, 0.3, 0.6, 0.9), (0.05, 0.2) if trend else (0.0,), (0.05, 0.3) if seasonal else (0.0,), (0.9, 0.98) if damped and trend else (1.0,))
-    best = None
     starts = [(0.0, 1.0)] if params.get("start", "heuristic") == "heuristic" else [(0.0, 1.0), (0.0, 0.0), (-0.5, 1.0), (0.5, 1.0)]
-    for (a, b, g, phi), (level, slope) in itertools.product(grid, starts):
-        sse, state = _smooth(y, trend, seasonal, s, a, b, g, phi, level, slope)
-        if best is None or sse < best[0]:
-            best = (sse, state, phi)
-    (level, slope, season), phi = best[1], best[2]
+    # all sets of weights and starts at once, one entry of each array a set
+    sets = np.array([(*g, *st) for g in grid for st in starts]).T
+    with np.errstate(all="ignore"):
+        sse, levels, slopes, seasons = _smooth(y, trend, seasonal, s, *sets)
+    won = int(np.argmin(np.where(np.isfinite(sse), sse, np.inf)))
+    level, slope, season, phi = float(levels[won]), float(slopes[won]), seasons[:, won], float(sets[3, won])
     out, k = [], 0.0
     for h in range(1, steps + 1):
         k += phi**h
@@ -383,19 +383,17 @@ def ets(y: np.ndarray, params: dict, steps: int) -> np.ndarray:
     return np.array(out)
 
 
-def _smooth(y, trend, seasonal, s, a, b, g, phi, shift=0.0, steep=1.0):
-    n0 = s if seasonal else min(4, len(y) - 1)
-    level = y[:n0].mean()
-    slope = 0.0 if trend is None else 1.0 if trend == "mul" else (y[min(len(y) - 1, 2 * n0 - 1)] - y[0]) / max(1, min(len(y) - 1, 2 * n0 - 1)) * steep
-    season = np.zeros(s) if seasonal != "mul" else np.ones(s)
-    if seasonal:
-        season = y[:s] - level if seasonal == "add" else y[:s] / level
-        season = season.copy()
+def _smooth(y, trend, seasonal, s, a, b, g, phi, shift, steep):
+    """(sum of squared errors, level, slope, season) of each set of weights after the last row."""
+    n0, one = s if seasonal else min(4, len(y) - 1), np.ones(len(a))
+    far, level = min(len(y) - 1, 2 * n0 - 1), y[:n0].mean()
+    slope = 0.0 * one if trend is None else one if trend == "mul" else (y[far] - y[0]) / max(1, far) * steep
+    season = np.outer((y[:s] - level if seasonal == "add" else y[:s] / level) if seasonal else np.full(s, float(seasonal == "mul")), one)
     level = level + shift * y[:n0].std()
-    sse = 0.0
+    sse = np.zeros(len(a))
     for t, v in enumerate(y):
         base = level + phi * slope if trend == "add" else level * slope**phi if trend == "mul" else level
-        c = season[t % s]
+        c = season[t % s].copy()
         sse += (v - (base + c if seasonal == "add" else base * c if seasonal == "mul" else base)) ** 2
         clean = v - c if seasonal == "add" else v / c if seasonal == "mul" else v
         before, level = level, a * clean + (1 - a) * base
@@ -407,7 +405,7 @@ def _smooth(y, trend, seasonal, s, a, b, g, phi, shift=0.0, steep=1.0):
             season[t % s] = g * (v - level) + (1 - g) * c
         elif seasonal == "mul":
             season[t % s] = g * v / level + (1 - g) * c
-    return sse if np.isfinite(sse) else np.inf, (level, slope, season)
+    return sse, level, slope, season
 
 
 def project_driver(y: np.ndarray, steps: int, season: int = 12) -> tuple[np.ndarray, str]:

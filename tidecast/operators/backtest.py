@@ -33,13 +33,19 @@ def naive_forecasts(prices: DataFrame, windows: DataFrame, m_end: int, season: i
 
 
 def evaluate(forecasts: DataFrame, prices: DataFrame, horizon: str, m_start: int, m_end: int) -> DataFrame:
-    """The detail table: forecast rows of steps m_start..m_end with actuals, both
-    directional hits and row metrics. The rolling baseline of a step is the
+    """The detail table of one horizon; see evaluate_all."""
+    return evaluate_all(forecasts, prices, {horizon: (m_start, m_end)})
+
+
+def evaluate_all(forecasts: DataFrame, prices: DataFrame, spans: dict[str, tuple[int, int]]) -> DataFrame:
+    """The detail table: forecast rows of each horizon's steps, which don't overlap, with
+    actuals, both directional hits and row metrics, in one pass. The rolling baseline of a step is the
     prediction recorded before it, of the first recorded step (whatever the
     warm-up) the price at the window's end; steps without a prediction are left out."""
     actual = prices.where("price is not null").select("series_id", "ds", F.col("price").alias("actual"))
     start = actual.select("series_id", F.col("ds").alias("train_end"), F.col("actual").alias("anchor"))
-    rows = forecasts.where(F.col("step").between(m_start, m_end) & F.col("predicted").isNotNull() & ~F.isnan("predicted")).withColumn("horizon", F.lit(horizon))
+    named = F.coalesce(*(F.when(F.col("step").between(*span), name) for name, span in spans.items()))
+    rows = forecasts.where(F.col("predicted").isNotNull() & ~F.isnan("predicted")).withColumn("horizon", named).where("horizon is not null")
     rows = rows.join(actual, ["series_id", "ds"], "left").join(start, ["series_id", "train_end"], "left")
     before = F.coalesce(F.lag("predicted").over(Window.partitionBy(*RUN).orderBy("step")), F.col("anchor"))
     return rows.select(

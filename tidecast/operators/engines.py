@@ -257,20 +257,26 @@ def grid_frame(spark, techniques: list[str], limit: int | None = None, long: boo
 
 
 def _tasks(batches: Iterator[pd.DataFrame], frequency: str):
-    """(task, history up to the window's end, all prices of the series)."""
+    """(task, history up to the window's end, periods and prices of the whole series)."""
+    held: dict[str, tuple] = {}  # the arrays of some series
     for batch in batches:
         for task in batch.itertuples(index=False):
-            ds = pd.to_datetime(pd.Series(list(task.ds)))
-            n = int((ds <= pd.Timestamp(task.train_end)).sum())
-            drivers = np.array([np.asarray(v, float) for v in task.drivers[:n]]).reshape(n, -1)
+            if task.series_id not in held:
+                if len(held) >= 64:
+                    held.clear()
+                ds = np.array([str(d)[:10] for d in task.ds], "datetime64[D]")
+                month = ds.astype("datetime64[M]").astype(int)
+                held[task.series_id] = ds, 1970 + month // 12, month % 12 + 1, np.asarray(task.price, float), np.array([np.asarray(v, float) for v in task.drivers]).reshape(len(ds), -1)
+            ds, years, months, price, every = held[task.series_id]
+            n = int((ds <= np.datetime64(str(task.train_end)[:10])).sum())
+            drivers = every[:n]
             if task.seed >= 0 and drivers.shape[1]:
                 rng = np.random.default_rng(task.seed)
                 drivers = np.column_stack([rng.permutation(c) for c in drivers.T])
-            names = None if task.features is None else tuple(task.features)
-            yield task, History(np.asarray(task.price, float)[:n], ds.dt.year.to_numpy()[:n], ds.dt.month.to_numpy()[:n], drivers, frequency, names), ds, np.asarray(task.price, float)
+            yield task, History(price[:n], years[:n], months[:n], drivers, frequency, None if task.features is None else tuple(task.features)), ds, price
 
 
-def _search_losses(t: Technique, task, h: History, ds: pd.Series, price: np.ndarray, held_out: int, steps: tuple[int, int], weight: float, mode: str):
+def _search_losses(t: Technique, task, h: History, ds: np.ndarray, price: np.ndarray, held_out: int, steps: tuple[int, int], weight: float, mode: str):
     """(step, loss) pairs of one parameter set on one window; step 0 stands for all steps."""
     params = json.loads(task.params)
     if t.search == "rows":
@@ -286,8 +292,8 @@ def _search_losses(t: Technique, task, h: History, ds: pd.Series, price: np.ndar
         _with_drivers(h)
         rows, learner = DirectRows(h), task.technique.removesuffix("_ext")
         for step in range(steps[0], steps[1] + 1):
-            due = pd.Timestamp(task.train_end) + pd.DateOffset(months=step * PERIOD_MONTHS[h.frequency])
-            at = np.flatnonzero((ds == due).to_numpy())
+            due = np.datetime64(str(task.train_end)[:7], "M") + step * PERIOD_MONTHS[h.frequency]
+            at = np.flatnonzero(ds == due.astype("datetime64[D]"))
             if len(at):
                 x, y, row = rows.at(step)
                 f = _learner(learner, params, x, y).predict(row)

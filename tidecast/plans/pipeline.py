@@ -75,11 +75,7 @@ def feature_survival(prices: DataFrame, run: Run = Run(), gated: DataFrame | Non
 
 def details(forecasts: DataFrame, prices: DataFrame, frequency: str = "monthly") -> DataFrame:
     """Forecast steps dealt to the three horizons and evaluated."""
-    out = None
-    for bucket in BUCKETS:
-        part = backtest.evaluate(forecasts, prices, bucket, *HORIZONS[frequency][bucket])
-        out = part if out is None else out.unionByName(part)
-    return out
+    return backtest.evaluate_all(forecasts, prices, HORIZONS[frequency])
 
 
 def permutation_mapes(prices, windows, gated, best, span: tuple[int, int], seeds: int, survival: DataFrame | None = None, frequency: str = "monthly") -> DataFrame:

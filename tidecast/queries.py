@@ -551,11 +551,7 @@ def _naive(spark, sf_dir):
 
 def _detail(spark, sf_dir):
     prices, made = _naive(spark, sf_dir)
-    out = None
-    for bucket in BUCKETS:
-        part = backtest.evaluate(made, prices, bucket, *HORIZONS["monthly"][bucket])
-        out = part if out is None else out.unionByName(part)
-    return prices, out
+    return prices, backtest.evaluate_all(made, prices, HORIZONS["monthly"])
 
 
 @query("backtest_detail", f"WITH {DETAIL_SQL} SELECT * REPLACE (mse + 0.0 AS mse) FROM detail")
